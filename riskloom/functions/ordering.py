@@ -92,13 +92,12 @@ def _order_statistics(
     while True:
         place = (F.col("x") - low) / (high - low)
         slot = F.least(F.floor(place * bins), F.lit(bins - 1))
-        rows = (
+        counted = (
             x.where(F.col("x").between(low, high))
             .groupBy(slot.alias("slot"))
             .agg(F.count("x").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
-            .orderBy("slot")
-            .collect()  # at most ``bins`` rows
         )
+        rows = sorted(counted.collect(), key=lambda r: r["slot"])  # at most ``bins`` rows
         at = skipped
         for i, row in enumerate(rows):
             if rank < at + row["n"]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -11,6 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _FAN_IN = 64
+_PART = "shard int, v binary"  # a vector of doubles as bytes
+
+
+def _add(parts: Iterable[bytes]) -> np.ndarray:
+    return np.sum([np.frombuffer(p) for p in parts], axis=0)
 
 
 def to_matrix(batch: pa.RecordBatch, columns: list[str]) -> np.ndarray:
@@ -19,22 +24,29 @@ def to_matrix(batch: pa.RecordBatch, columns: list[str]) -> np.ndarray:
     return np.column_stack(parts).astype(float, copy=False)
 
 
-def sharded(df: DataFrame, shards: int) -> DataFrame:
-    """One partition per shard with a fixed row order, kept for repeated passes.
+def sharded(df: DataFrame, columns: list[str], shards: int) -> DataFrame:
+    """(user_id, x): feature vectors, one partition per shard with a fixed row order.
 
     The shard of a row depends on its user only, so a fit gives the same result
-    on any cluster. ``df`` should be a stored table: lost blocks are read again.
+    on any cluster. The rows are kept for repeated passes; ``df`` should be a
+    stored table, from which lost blocks are read again.
     """
-    return df.repartition(shards, "user_id").sortWithinPartitions("user_id").persist()
+    vectors = df.select("user_id", F.array(*columns).alias("x"))
+    return vectors.repartition(shards, "user_id").sortWithinPartitions("user_id").persist()
+
+
+def vectors_of(batch: pa.RecordBatch, column: int = 0) -> np.ndarray:
+    """Rows x features matrix of an array column."""
+    values = batch.column(column).flatten().to_numpy(zero_copy_only=False)
+    return values.reshape(batch.num_rows, -1).astype(float, copy=False)
 
 
 def sum_over_shards(
     data: DataFrame,
-    columns: list[str],
     shards: int,
     per_shard: Callable[[Iterator[np.ndarray]], np.ndarray | None],
 ) -> np.ndarray:
-    """Sum of one vector per partition, added up in a fixed order.
+    """Sum of one vector per partition of :func:`sharded` data, in a fixed order.
 
     The vectors have a length fixed by the model, not by the data. Beyond
     ``_FAN_IN`` shards they are first added in groups by a second stage, so the
@@ -44,26 +56,26 @@ def sum_over_shards(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        vector = per_shard(to_matrix(b, columns) for b in batches if b.num_rows)
+        vector = per_shard(vectors_of(b) for b in batches if b.num_rows)
         if vector is not None:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([TaskContext.get().partitionId()], pa.int32()),
-                    pa.array([vector], pa.list_(pa.float64())),
+                    pa.array([vector.astype(float).tobytes()], pa.binary()),
                 ],
                 names=["shard", "v"],
             )
 
-    parts = data.select(*columns).mapInArrow(run, "shard int, v array<double>")
+    parts = data.select("x").mapInArrow(run, _PART)
     if shards > _FAN_IN:
 
         def add(group: pd.DataFrame) -> pd.DataFrame:
             group = group.sort_values("shard")
-            total = np.sum(np.stack(group["v"].to_list()), axis=0)
-            return pd.DataFrame({"shard": [group["shard"].iloc[0]], "v": [total]})
+            total = _add(group["v"])
+            return pd.DataFrame({"shard": [group["shard"].iloc[0]], "v": [total.tobytes()]})
 
         parts = parts.groupBy(F.pmod("shard", F.lit(_FAN_IN))).applyInPandas(
-            add, "shard int, v array<double>"
+            add, _PART
         )
     rows = sorted(parts.collect(), key=lambda r: r["shard"])
-    return np.sum([np.asarray(r["v"]) for r in rows], axis=0)
+    return _add(r["v"] for r in rows)

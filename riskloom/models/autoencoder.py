@@ -113,17 +113,17 @@ def train_locally(
 
 
 def fit(
-    shards: DataFrame, columns: list[str], users: int, shard_count: int, params: RiskParams
+    shards: DataFrame, features: int, users: int, shard_count: int, params: RiskParams
 ) -> AutoencoderModel:
     """``shards`` comes from :func:`riskloom.models.arrays.sharded`."""
     ae = params.autoencoder
     if ae.activation != "relu":
         raise ValueError(f"unsupported activation: {ae.activation}")
-    sizes = layer_sizes(len(columns), ae)
+    sizes = layer_sizes(features, ae)
     start = initial(sizes, params.seed)
     state = np.stack([start, np.zeros_like(start), np.zeros_like(start)])
     # All shards together take about ``batch`` rows per step.
-    batch = max(25, ae.batch // shard_count)
+    batch = max(50, ae.batch // shard_count)
     rows_per_shard = -(-users // shard_count)
     steps_per_epoch = -(-rows_per_shard // batch)
     context = shards.sparkSession.sparkContext
@@ -146,7 +146,7 @@ def fit(
             )
             return len(data) * np.concatenate([[1.0], losses, trained.ravel()])
 
-        total = sum_over_shards(shards, columns, shard_count, local)
+        total = sum_over_shards(shards, shard_count, local)
         shared.unpersist()
         mean = total[1:] / total[0]
         state = mean[count:].reshape(state.shape)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -92,20 +92,17 @@ def _fit_forest(
         score_scaled(scaled, Models(scaler, forest=model)).select((-F.col("if_score")).alias("s")),
         "forest-scores",
     )
-    return ForestModel(nodes, psi, exact_quantile(trained, "s", params.forest.contamination))
+    return replace(model, offset=exact_quantile(trained, "s", params.forest.contamination))
 
 
 def _fit_svm(
-    data: DataFrame, columns: list[str], users: int, shards: int, scaler: Scaler, params: RiskParams
+    scaled: DataFrame, data: DataFrame, users: int, shards: int, scaler: Scaler, params: RiskParams
 ) -> SvmModel:
-    model = one_class_svm.fit(data, columns, users, shards, params)
-    unit = SvmModel(model.landmarks, model.weights, 0.0, model.gamma, 1.0)
-    projections = stage(
-        score_scaled(data, Models(scaler, svm=unit)).select((-F.col("svm_score")).alias("s")),
-        "svm-scores",
-    )
-    rho = exact_quantile(projections, "s", params.svm.nu)
-    return SvmModel(model.landmarks, model.weights, rho, model.gamma, model.scale)
+    model = one_class_svm.fit(data, users, shards, params)
+    projection = replace(model, rho=0.0, scale=1.0)
+    scored = score_scaled(scaled, Models(scaler, svm=projection))
+    projected = stage(scored.select((-F.col("svm_score")).alias("s")), "svm-scores")
+    return replace(model, rho=exact_quantile(projected, "s", params.svm.nu))
 
 
 def fit_models(
@@ -131,11 +128,11 @@ def fit_models(
     if "forest" in which:
         found["forest"] = _fit_forest(scaled, columns, users, scaler, params)
     if "svm" in which or "autoencoder" in which:
-        data = sharded(scaled, shards)
+        data = sharded(scaled, columns, shards)
         if "svm" in which:
-            found["svm"] = _fit_svm(data, columns, users, shards, scaler, params)
+            found["svm"] = _fit_svm(scaled, data, users, shards, scaler, params)
         if "autoencoder" in which:
-            found["autoencoder"] = autoencoder.fit(data, columns, users, shards, params)
+            found["autoencoder"] = autoencoder.fit(data, len(columns), users, shards, params)
         data.unpersist()
     return Models(scaler, **found), scaled
 
@@ -195,7 +192,7 @@ def save_models(spark: SparkSession, models: Models, folder: str) -> None:
             "ocsvm_landmarks",
         )
         write(
-            [(s.rho, s.gamma, float(s.scale))], "rho double, gamma double, scale double", "ocsvm_meta"
+            [(float(s.rho), float(s.gamma), float(s.scale))], "rho double, gamma double, scale double", "ocsvm_meta"
         )
     if models.autoencoder is not None:
         a = models.autoencoder

@@ -101,7 +101,9 @@ def fit(scaled: DataFrame, columns: list[str], users: int, params: RiskParams) -
         return out
 
     sampled = sample_for_trees(scaled.select("user_id", *columns), users, params)
-    return sampled.groupBy("tree").applyInPandas(build, NODE_SCHEMA)
+    # Few bytes but much work per tree: fixed partitions keep the trees spread out.
+    parallel = min(params.forest.trees, max(8, scaled.sparkSession.sparkContext.defaultParallelism))
+    return sampled.repartition(parallel, "tree").groupBy("tree").applyInPandas(build, NODE_SCHEMA)
 
 
 def compile_scorer(nodes: pd.DataFrame, psi: int) -> Callable[[np.ndarray], np.ndarray]:

@@ -8,6 +8,9 @@ The kernel space is spanned by landmark users (Nystroem; Williams & Seeger
 is minimised by Newton steps on a hinge smoothed over a shrinking width. Each
 step is one pass over all users that adds up a loss, a gradient and a Hessian of
 fixed size; the users stay in their partitions.
+
+The support vectors are users in sparse regions. With more users than landmarks
+most landmarks are therefore drawn from the users of lowest kernel density.
 """
 
 from __future__ import annotations
@@ -16,11 +19,17 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.models.arrays import sum_over_shards
-from riskloom.params import RiskParams
+from riskloom.models.arrays import sum_over_shards, vectors_of
+from riskloom.params import RiskParams, SvmParams
+
+_DAMPING = 0.1  # curvature in rho that stays when no user is near the border
+_NARROWEST = 0.02  # last smoothing width, relative to the spread of projections
+_TOLERANCE = 1e-4
+_MOST_SETTLED = 1000  # border users whose multipliers are solved for exactly
 
 
 @dataclass(frozen=True)
@@ -40,28 +49,63 @@ def rbf(a: np.ndarray, b: np.ndarray, gamma: float) -> np.ndarray:
     return np.exp(-gamma * np.maximum(square, 0.0))
 
 
-def gamma_of(scaled: DataFrame, columns: list[str], gamma: float | str) -> float:
+class _Passes:
+    """Passes over all users that return one summed vector."""
+
+    def __init__(self, data: DataFrame, shards: int):
+        self.data, self.shards = data, shards
+        self.context = data.sparkSession.sparkContext
+
+    def total(self, of_block: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+        def per_shard(blocks: Iterator[np.ndarray]) -> np.ndarray | None:
+            sums = None
+            for block in blocks:
+                part = of_block(block)
+                sums = part if sums is None else sums + part
+            return sums
+
+        return sum_over_shards(self.data, self.shards, per_shard)
+
+
+def gamma_of(passes: _Passes, gamma: float | str) -> float:
     """A number as given, or "scale": 1 / (features x variance of all entries)."""
     if gamma != "scale":
         return float(gamma)
-    row = scaled.agg(
-        *(F.avg(c) for c in columns), *(F.avg(F.col(c) * F.col(c)) for c in columns)
-    ).first()
-    mean = np.mean(row[: len(columns)])
-    variance = np.mean(row[len(columns) :]) - mean * mean
-    return 1.0 / (len(columns) * variance) if variance > 1e-12 else 1.0
+    rows, features, first, second = passes.total(
+        lambda x: np.array([len(x), x.size, x.sum(), (x * x).sum()])
+    )
+    variance = second / features - (first / features) ** 2
+    return float(rows / (features * variance)) if variance > 1e-12 else 1.0
 
 
-def choose_landmarks(scaled: DataFrame, columns: list[str], params: RiskParams) -> np.ndarray:
-    """The users with the smallest hashes: a uniform, repeatable choice of fixed size."""
+def _by_hash(users: DataFrame, count: int, params: RiskParams) -> np.ndarray:
+    """Vectors of the users with the smallest hashes: a uniform, repeatable choice."""
     order = F.xxhash64(F.lit(params.seed), F.lit("landmark"), F.col("user_id"))
-    rows = (
-        scaled.select(order.alias("_h"), "user_id", *columns)
-        .orderBy("_h", "user_id")
-        .limit(params.svm.landmarks)
-        .collect()
-    )
-    return np.array([r[2:] for r in rows], dtype=float)
+    chosen = users.select(order.alias("_h"), "user_id", "x").orderBy("_h", "user_id").limit(count)
+    return np.array([r["x"] for r in chosen.collect()], dtype=float)
+
+
+def choose_landmarks(passes: _Passes, users: int, gamma: float, params: RiskParams) -> np.ndarray:
+    """All users if they are few, else some of all users and more of the sparse regions."""
+    count = params.svm.landmarks
+    uniform = _by_hash(passes.data, count, params)
+    if users <= count:
+        return uniform
+    shared = passes.context.broadcast(uniform)
+
+    def density(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = rbf(vectors_of(batch, 1), shared.value, gamma).mean(axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(near)], names=["user_id", "x", "density"]
+            )
+
+    dense = passes.data.mapInArrow(density, "user_id long, x array<double>, density double")
+    share = min(1.0, 2 * params.svm.nu)
+    border = dense.agg(F.percentile_approx("density", share, 10_000)).first()[0]
+    few = count // 4
+    sparse = _by_hash(dense.where(F.col("density") <= border), count - few, params)
+    return np.unique(np.concatenate([uniform[:few], sparse]), axis=0)
 
 
 def _smooth_hinge(gap: np.ndarray, width: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -73,10 +117,8 @@ def _smooth_hinge(gap: np.ndarray, width: float) -> tuple[np.ndarray, np.ndarray
     return value, slope, inside / (2 * width)
 
 
-def fit(
-    shards: DataFrame, columns: list[str], users: int, shard_count: int, params: RiskParams
-) -> SvmModel:
-    """Fit on all users. ``shards`` comes from :func:`riskloom.models.arrays.sharded`.
+def fit(data: DataFrame, users: int, shards: int, params: RiskParams) -> SvmModel:
+    """Fit on all users; ``data`` comes from :func:`riskloom.models.arrays.sharded`.
 
     ``rho`` is the one of the smoothed problem; the caller replaces it with the
     exact nu-quantile of the users' projections.
@@ -84,107 +126,146 @@ def fit(
     svm = params.svm
     if svm.kernel != "rbf":
         raise ValueError(f"unsupported kernel: {svm.kernel}")
-    gamma = gamma_of(shards, columns, svm.gamma)
-    landmarks = choose_landmarks(shards, columns, params)
+    passes = _Passes(data, shards)
+    gamma = gamma_of(passes, svm.gamma)
+    landmarks = choose_landmarks(passes, users, gamma, params)
     values, vectors = np.linalg.eigh(rbf(landmarks, landmarks, gamma))
     keep = values > 1e-10 * values.max()
     basis = vectors[:, keep] / np.sqrt(values[keep])
-    solution = _solve(shards, columns, users, shard_count, landmarks, basis, gamma, svm)
-    weights = basis @ solution[:-1]
+    solution = _minimise(passes, users, landmarks, basis, gamma, svm)
     scale = svm.nu * users if svm.scale == "count" else 1.0
-    return SvmModel(landmarks, weights, float(solution[-1]), gamma, scale)
+    return SvmModel(landmarks, basis @ solution[:-1], float(solution[-1]), gamma, scale)
 
 
-def _solve(
-    shards: DataFrame,
-    columns: list[str],
+def _minimise(
+    passes: _Passes,
     users: int,
-    shard_count: int,
     landmarks: np.ndarray,
     basis: np.ndarray,
     gamma: float,
-    svm,
+    svm: SvmParams,
 ) -> np.ndarray:
-    context = shards.sparkSession.sparkContext
-    space = context.broadcast((landmarks, basis, gamma))
+    """Damped Newton over (w, rho); the smoothing narrows while steps get small."""
+    space = passes.context.broadcast((landmarks, basis))
     size = basis.shape[1] + 1
     upper = np.triu_indices(size)
-
-    def summed(one_pass: Callable[[Iterator[np.ndarray]], np.ndarray | None]) -> np.ndarray:
-        return sum_over_shards(shards, columns, shard_count, one_pass)
-
-    def features(data: np.ndarray) -> np.ndarray:
-        points, to_basis, g = space.value
-        return rbf(data, points, g) @ to_basis
-
-    def moments(blocks: Iterator[np.ndarray]) -> np.ndarray | None:
-        total = None
-        for data in blocks:
-            part = features(data).sum(axis=0)
-            total = part if total is None else total + part
-        return total
-
-    mean = summed(moments) / users
-
-    def spread(blocks: Iterator[np.ndarray]) -> np.ndarray | None:
-        total = None
-        for data in blocks:
-            s = features(data) @ mean
-            part = np.array([s.sum(), (s * s).sum()])
-            total = part if total is None else total + part
-        return total
-
-    first, second = summed(spread) / users
-    deviation = max(float(np.sqrt(max(second - first * first, 0.0))), 1e-6)
-    point = np.append(mean, first - 1.645 * deviation)
     per_user = 1.0 / (svm.nu * users)
 
+    def features(block: np.ndarray) -> np.ndarray:
+        points, to_basis = space.value
+        return rbf(block, points, gamma) @ to_basis
+
+    mean = passes.total(lambda x: features(x).sum(axis=0)) / users
+
+    def projection_moments(block: np.ndarray) -> np.ndarray:
+        s = features(block) @ mean
+        return np.array([s.sum(), (s * s).sum()])
+
+    first, second = passes.total(projection_moments) / users
+    spread = max(float(np.sqrt(max(second - first * first, 0.0))), 1e-6)
+
     def evaluate(at: np.ndarray, width: float) -> tuple[float, np.ndarray, np.ndarray]:
-        def one_pass(blocks: Iterator[np.ndarray]) -> np.ndarray | None:
-            loss, gradient, hessian = 0.0, np.zeros(size), np.zeros((size, size))
-            for data in blocks:
-                phi = np.column_stack([-features(data), np.ones(len(data))])
-                value, slope, curve = _smooth_hinge(phi @ at, width)
-                loss += value.sum()
-                gradient += slope @ phi
-                bent = phi[curve > 0]
-                hessian += (bent.T @ bent) * (0.5 / width)
-            return np.concatenate([[loss], gradient, hessian[upper]])
-
-        sums = summed(one_pass) * per_user
+        def parts(block: np.ndarray) -> np.ndarray:
+            phi = np.column_stack([-features(block), np.ones(len(block))])
+            value, slope, curve = _smooth_hinge(phi @ at, width)
+            bent = phi[curve > 0]
+            hessian = (bent.T @ bent) * (0.5 / width)
+            return np.concatenate([[value.sum()], slope @ phi, hessian[upper]])
+
+        sums = passes.total(parts) * per_user
         hessian = np.zeros((size, size))
         hessian[upper] = sums[1 + size :]
-        hessian = hessian + np.triu(hessian, 1).T
+        hessian += np.triu(hessian, 1).T
+        hessian[np.diag_indices(size)] += np.append(np.ones(size - 1), _DAMPING * per_user / width)
         w = at[:-1]
         loss = 0.5 * float(w @ w) - at[-1] + sums[0]
-        gradient = sums[1 : 1 + size] + np.append(w, -1.0)
-        hessian[np.arange(size - 1), np.arange(size - 1)] += 1.0
-        hessian[-1, -1] += 1e-9
-        return loss, gradient, hessian
+        return loss, sums[1 : 1 + size] + np.append(w, -1.0), hessian
 
-    width, final = deviation, deviation * 1e-3
+    point, width = np.append(mean, first - 1.645 * spread), spread
+    narrowest = spread * _NARROWEST
     loss, gradient, hessian = evaluate(point, width)
-    passes = 1
-    while passes < svm.max_passes:
+    done = 1
+    while done < svm.max_passes:
         step = -np.linalg.solve(hessian, gradient)
-        decrease = float(-gradient @ step)
-        if decrease < 1e-4 * width:
-            if width <= final:
-                break
-            width = max(width * 0.2, final)
-            loss, gradient, hessian = evaluate(point, width)
-            passes += 1
-            continue
-        limit = 4 * deviation / max(abs(step[-1]), 1e-12)
-        length = min(1.0, limit)
-        while passes < svm.max_passes:
-            trial = evaluate(point + length * step, width)
-            passes += 1
-            if trial[0] <= loss - 1e-4 * length * decrease:
-                point = point + length * step
-                loss, gradient, hessian = trial
+        gain = float(-gradient @ step)
+        size_of_w = float(point[:-1] @ point[:-1])
+        if width <= narrowest and gain < _TOLERANCE * size_of_w:
+            break
+        # A narrower hinge is never above a wider one, so losses stay comparable.
+        narrower = gain < 0.3 * size_of_w and width > narrowest
+        next_width = max(width / 2, narrowest) if narrower else width
+        length = 1.0
+        while True:
+            trial = evaluate(point + length * step, next_width)
+            done += 1
+            enough = 0.0 if narrower else 1e-4 * length * gain
+            if trial[0] <= loss - enough or length < 1e-3 or done >= svm.max_passes:
                 break
-            length *= 0.4
-            if length < 1e-4:
-                return point
-    return point
+            excess = trial[0] - loss + gain * length
+            length *= min(max(gain * length / (2 * excess), 0.1), 0.6)
+        point, width = point + length * step, next_width
+        loss, gradient, hessian = trial
+    return _settle_border(passes, point, 3 * width, features, svm.nu * users)
+
+
+def _settle_border(
+    passes: _Passes,
+    point: np.ndarray,
+    reach: float,
+    features: Callable[[np.ndarray], np.ndarray],
+    mass: float,
+) -> np.ndarray:
+    """Undo the smoothing for the users on the border, if they are few.
+
+    Users clearly below the border have multiplier 1, users clearly above it 0.
+    That leaves a small quadratic problem over the multipliers of those near it.
+    With many users near the border smoothing no longer matters.
+    """
+    w, rho = point[:-1], point[-1]
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            inside = np.abs(features(vectors_of(batch)) @ w - rho) <= reach
+            yield batch.filter(pa.array(inside))
+
+    found = passes.data.select("x").mapInArrow(near, "x array<double>")
+    rows = found.limit(_MOST_SETTLED + 1).collect()
+    if not rows or len(rows) > _MOST_SETTLED:
+        return point
+
+    def below(block: np.ndarray) -> np.ndarray:
+        phi = features(block)
+        phi = phi[phi @ w < rho - reach]
+        return np.append(phi.sum(axis=0), len(phi))
+
+    fixed = passes.total(below)
+    free = mass - fixed[-1]
+    if not 0 < free < len(rows):
+        return point
+    phi = features(np.array([r["x"] for r in rows], dtype=float))
+    kernel, offset = phi @ phi.T, phi @ fixed[:-1]
+    share = _spread_mass(kernel, offset, free)
+    settled = (fixed[:-1] + share @ phi) / mass
+    on_border = (share > 1e-6) & (share < 1 - 1e-6)
+    if on_border.any():
+        rho = float((phi[on_border] @ settled).mean())
+    return np.append(settled, rho)
+
+
+def _spread_mass(kernel: np.ndarray, offset: np.ndarray, mass: float) -> np.ndarray:
+    """Multipliers in [0, 1] of the given sum minimising the norm, by pairwise moves."""
+    share = np.full(len(offset), mass / len(offset))
+    slope = offset + kernel @ share
+    diagonal = np.diag(kernel)
+    for _ in range(50 * len(offset) + 1000):
+        up = int(np.where(share < 1 - 1e-12, slope, np.inf).argmin())
+        down = int(np.where(share > 1e-12, slope, -np.inf).argmax())
+        gap = slope[down] - slope[up]
+        if gap < 1e-9:
+            break
+        curve = max(diagonal[up] + diagonal[down] - 2 * kernel[up, down], 1e-12)
+        move = min(gap / curve, 1 - share[up], share[down])
+        share[up] += move
+        share[down] -= move
+        slope += move * (kernel[:, up] - kernel[:, down])
+    return share

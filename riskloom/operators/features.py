@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.schemas import FEATURE_COLS
-
 # statistic -> (measured column, day kind or None for all days)
 _COUNTED = {
     "login": ("login_hour", None),
@@ -48,32 +46,28 @@ def user_stats(activity: DataFrame) -> DataFrame:
     aggregate. Only its output, about one row per user, meets the aggregate that
     picks the first role.
     """
-    aggs: list[Column] = []
+    aggs = [F.expr("min(day) AS _day")]
     for stat, (column, kind) in _COUNTED.items():
-        value = F.col(column)
-        if kind is not None:
-            value = F.when(F.col("is_weekend") == kind, value)
-        aggs += [F.count(value).alias(f"{stat}_n"), F.sum(value).alias(f"{stat}_sum")]
+        value = column if kind is None else f"CASE WHEN is_weekend = {kind} THEN {column} END"
+        aggs += [F.expr(f"count({value}) AS {stat}_n"), F.expr(f"sum({value}) AS {stat}_sum")]
     for stat, column in _SQUARED.items():
-        value = F.col(column).cast("double")
-        aggs.append(F.sum(value * value).alias(f"{stat}_sq"))
-    aggs += [F.sum(column).alias(total) for total, column in _TOTALS.items()]
-    aggs += [F.max(column).cast("long").alias(f"{stat}_max") for stat, column in _MAXIMA.items()]
-    per_role = (
-        activity.where(F.col("user_id").isNotNull())
-        .groupBy("user_id", "role")
-        .agg(*aggs, F.min("day").alias("_day"))
-        .withColumn("first_role", F.when(F.col("role").isNotNull(), F.struct("_day", "role")))
-    )
-    return _combine(per_role)
+        aggs.append(F.expr(f"sum(double({column}) * double({column})) AS {stat}_sq"))
+    aggs += [F.expr(f"sum({column}) AS {total}") for total, column in _TOTALS.items()]
+    aggs += [F.expr(f"bigint(max({column})) AS {stat}_max") for stat, column in _MAXIMA.items()]
+    per_role = activity.where("user_id IS NOT NULL").groupBy("user_id", "role").agg(*aggs)
+    first_role = F.expr("CASE WHEN role IS NOT NULL THEN struct(_day, role) END")
+    return _combine(per_role.withColumn("first_role", first_role))
 
 
 def _combine(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("user_id").agg(
-        *(F.sum(c).alias(c) for c in _ADDED),
-        *(F.max(c).alias(c) for c in _KEPT_MAX),
-        F.min("first_role").alias("first_role"),
-    )
+    merged = [f"sum({c}) AS {c}" for c in _ADDED] + [f"max({c}) AS {c}" for c in _KEPT_MAX]
+    merged.append("min(first_role) AS first_role")
+    return rows.groupBy("user_id").agg(*map(F.expr, merged))
+
+
+def merge_stats(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Statistics of the two inputs' rows together; each has one row per user."""
+    return _combine(old.unionByName(new))
 
 
 def risk_totals(activity: DataFrame) -> DataFrame:
@@ -92,11 +86,6 @@ def risk_totals(activity: DataFrame) -> DataFrame:
     )
 
 
-def merge_stats(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Statistics of the two inputs' rows together; each has one row per user."""
-    return _combine(old.unionByName(new))
-
-
 def totals_from_stats(stats: DataFrame) -> DataFrame:
     """The columns of :func:`risk_totals`, from stored statistics."""
     return stats.select(
@@ -106,14 +95,14 @@ def totals_from_stats(stats: DataFrame) -> DataFrame:
     )
 
 
-def _mean(stat: str) -> Column:
-    return F.try_divide(F.col(f"{stat}_sum").cast("double"), F.col(f"{stat}_n"))
+def _mean(stat: str) -> str:
+    return f"try_divide(double({stat}_sum), {stat}_n)"
 
 
-def _sample_std(stat: str) -> Column:
-    n, total = F.col(f"{stat}_n"), F.col(f"{stat}_sum").cast("double")
-    spread = F.col(f"{stat}_sq") - total * total / F.nullif(n, F.lit(0))
-    return F.sqrt(F.greatest(spread, F.lit(0.0)) / F.when(n > 1, n - 1))
+def _sample_std(stat: str) -> str:
+    """NULL for fewer than two values."""
+    spread = f"{stat}_sq - double({stat}_sum) * double({stat}_sum) / {stat}_n"
+    return f"CASE WHEN {stat}_n > 1 THEN sqrt(greatest({spread}, 0D) / ({stat}_n - 1)) END"
 
 
 def distinct_days(activity: DataFrame) -> DataFrame:
@@ -123,54 +112,55 @@ def distinct_days(activity: DataFrame) -> DataFrame:
 
 def day_kind_means(stats: DataFrame) -> DataFrame:
     """Weekend and weekday means per user; NULL without such days."""
-    return stats.select(
+    return stats.selectExpr(
         "user_id",
-        _mean("we_files").alias("weekend_files"),
-        _mean("we_login").alias("weekend_logins"),
-        _mean("we_after").alias("weekend_after_hours"),
-        _mean("wd_files").alias("weekday_files"),
+        f"{_mean('we_files')} AS weekend_files",
+        f"{_mean('we_login')} AS weekend_logins",
+        f"{_mean('we_after')} AS weekend_after_hours",
+        f"{_mean('wd_files')} AS weekday_files",
     )
 
 
 def features_from_stats(stats: DataFrame, n_days: Column) -> DataFrame:
-    """``user_id``, ``role`` and the 18 raw features.
+    """``user_id``, ``role`` and the 18 raw features; missing values become 0.
 
     ``n_days`` is the number of distinct days of the whole processed log.
     """
-
-    def filled(c: Column) -> Column:
-        return F.coalesce(c.cast("double"), F.lit(0.0))
-
-    base = stats.select(
-        "user_id",
-        F.coalesce("first_role.role", F.lit("unknown")).alias("role"),
-        filled(_mean("login")).alias("login_mean"),
-        filled(_sample_std("login")).alias("login_std"),
-        filled(_mean("files")).alias("files_mean"),
-        filled(F.col("files_max")).alias("files_max"),
-        filled(_sample_std("files")).alias("files_std"),
-        filled(F.col("failed_total")).alias("failed_total"),
-        filled(F.col("sensitive_total")).alias("sensitive_total"),
-        filled(_mean("emails")).alias("emails_mean"),
-        filled(F.col("emails_max")).alias("emails_max"),
-        filled(F.col("usb_total")).alias("usb_total"),
-        filled(_mean("after")).alias("after_hours_mean"),
-        filled(F.col("after_max")).alias("after_hours_max"),
-        filled(F.col("vpn_total")).alias("vpn_total"),
-        _mean("we_files").alias("_weekend"),
-        _mean("wd_files").alias("_weekday"),
-        F.nullif(n_days, F.lit(0)).cast("double").alias("_days"),
-    )
+    per_user = {
+        "login_mean": _mean("login"),
+        "login_std": _sample_std("login"),
+        "files_mean": _mean("files"),
+        "files_max": "files_max",
+        "files_std": _sample_std("files"),
+        "failed_total": "failed_total",
+        "sensitive_total": "sensitive_total",
+        "emails_mean": _mean("emails"),
+        "emails_max": "emails_max",
+        "usb_total": "usb_total",
+        "after_hours_mean": _mean("after"),
+        "after_hours_max": "after_max",
+        "vpn_total": "vpn_total",
+    }
     ratios = {
-        "sensitive_ratio": F.col("sensitive_total") / (F.col("files_mean") * F.col("_days") + 1),
-        "failed_login_rate": F.col("failed_total") / F.col("_days"),
-        "usb_rate": F.col("usb_total") / F.col("_days"),
-        "vpn_rate": F.col("vpn_total") / F.col("_days"),
-        "weekend_activity_ratio": F.coalesce("_weekend", F.lit(0.0))
-        / (F.coalesce("_weekday", F.lit(1.0)) + 1),
+        "sensitive_ratio": "sensitive_total / (files_mean * _days + 1)",
+        "failed_login_rate": "failed_total / _days",
+        "usb_rate": "usb_total / _days",
+        "vpn_rate": "vpn_total / _days",
+        "weekend_activity_ratio": "coalesce(_weekend, 0D) / (coalesce(_weekday, 1D) + 1)",
     }
-    return base.withColumns({k: filled(v) for k, v in ratios.items()}).select(
-        "user_id", "role", *FEATURE_COLS
+    base = stats.withColumn("_n_days", n_days).selectExpr(
+        "user_id",
+        "coalesce(first_role.role, 'unknown') AS role",
+        *(f"coalesce(double({e}), 0D) AS {name}" for name, e in per_user.items()),
+        f"{_mean('we_files')} AS _weekend",
+        f"{_mean('wd_files')} AS _weekday",
+        "double(nullif(_n_days, 0)) AS _days",
+    )
+    return base.selectExpr(
+        "user_id",
+        "role",
+        *per_user,
+        *(f"coalesce({e}, 0D) AS {name}" for name, e in ratios.items()),
     )
 
 

@@ -136,9 +136,11 @@ def user_cards(scored: DataFrame) -> DataFrame:
     return scored.select(*out)
 
 
-def behaviour_profile(table: DataFrame) -> DataFrame:
-    """Long table (user_id, position, axis, value) of the profile axes that exist."""
+def behaviour_profile(table: DataFrame) -> DataFrame | None:
+    """Long table (user_id, position, axis, value) of the profile axes that exist, if any."""
     axes = [c for c in PROFILE_AXES if c in table.columns]
+    if not axes:
+        return None
     points = [
         F.struct(
             F.lit(i).alias("position"),
@@ -179,12 +181,9 @@ def full_report(
         "alert_table": alert_table(view),
         "users": distinct_values(view, "user_id"),
         "cards": user_cards(view),
-        "profile": behaviour_profile(view),
     }
     if "role" in scored.columns:
         out["roles"] = distinct_values(scored, "role")
         out["role_level"] = role_level_crosstab(view)
-    pair = model_pair_view(view)
-    if pair is not None:
-        out["model_pair"] = pair
-    return out
+    optional = {"profile": behaviour_profile(view), "model_pair": model_pair_view(view)}
+    return out | {name: table for name, table in optional.items() if table is not None}

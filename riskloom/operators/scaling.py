@@ -13,15 +13,11 @@ def fit_scaler(features: DataFrame, columns: list[str] = FEATURE_COLS) -> DataFr
     require_features(features.columns, columns)
     wide = features.agg(
         *(
-            F.struct(
-                F.lit(c).alias("feature"),
-                F.avg(c).alias("mean"),
-                F.stddev_pop(c).alias("std"),
-            ).alias(c)
+            F.expr(f"struct('{c}' AS feature, avg({c}) AS mean, stddev_pop({c}) AS std) AS {c}")
             for c in columns
         )
     )
-    return wide.select(F.inline(F.array(*columns)))
+    return wide.selectExpr(f"inline(array({', '.join(columns)}))")
 
 
 def scaler_lookup(scaler: DataFrame) -> dict[str, tuple[float, float]]:
@@ -43,16 +39,12 @@ def scale(features: DataFrame, columns: list[str] = FEATURE_COLS) -> DataFrame:
     """Fit and apply in one plan: each mean and std is a one-row scalar subquery."""
     require_features(features.columns, columns)
     stats = features.agg(
-        *(F.avg(c).alias(f"{c}_m") for c in columns),
-        *(F.stddev_pop(c).alias(f"{c}_s") for c in columns),
+        *(F.expr(f"avg({c}) AS {c}_m") for c in columns),
+        *(F.expr(f"stddev_pop({c}) AS {c}_s") for c in columns),
     )
     one_row = stats.select(F.struct(*stats.columns).alias("s")).scalar()
-    scaled = features.withColumn("_s", one_row)
-    divisor = {c: F.col(f"_s.{c}_s") for c in columns}
-    return scaled.withColumns(
-        {
-            c: (F.col(c) - F.col(f"_s.{c}_m"))
-            / F.when(divisor[c] == 0, F.lit(1.0)).otherwise(divisor[c])
-            for c in columns
-        }
-    ).drop("_s")
+    scaled = {
+        c: F.expr(f"({c} - _s.{c}_m) / CASE WHEN _s.{c}_s = 0 THEN 1D ELSE _s.{c}_s END")
+        for c in columns
+    }
+    return features.withColumn("_s", one_row).withColumns(scaled).drop("_s")

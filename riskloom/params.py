@@ -53,7 +53,7 @@ class AutoencoderParams:
     tolerance: float = 1e-4
     patience: int = 10
     #: Epochs each shard runs between two averaging rounds.
-    local_epochs: int = 25
+    local_epochs: int = 20
 
 
 @dataclass(frozen=True)
@@ -75,7 +75,11 @@ class RiskParams:
     rows_per_shard: int = 100_000
 
     def shard_count(self, users: int) -> int:
-        return self.shards or max(8, -(-users // self.rows_per_shard))
+        """At least one training batch of users per shard, and at least 8 if they suffice."""
+        if self.shards:
+            return self.shards
+        batches = -(-users // self.autoencoder.batch)
+        return max(min(8, batches), -(-users // self.rows_per_shard), 1)
 
     @classmethod
     def from_env(cls, env: Mapping[str, str]) -> RiskParams:

@@ -10,6 +10,7 @@ Below the output folder:
 ``stats/batch_id=N``   user statistics after batch N
 ``raw/batch_id=N``     model scores, totals and raw risk of every user after batch N
 ``commits/batch_id=N`` one row, written last: batch metadata, days seen, raw range
+                       and the snapshots that still exist
 
 Readers take the highest commit, so they never see a half-written batch. A
 replayed batch starts from the commit before it and overwrites its own folders.
@@ -18,8 +19,9 @@ replayed batch starts from the commit before it and overwrites its own folders.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -32,7 +34,7 @@ from riskloom.operators.features import (
     user_stats,
 )
 from riskloom.operators.report import score_stats
-from riskloom.operators.risk import ranked, raw_range, with_raw_risk
+from riskloom.operators.risk import ranked, with_levels, with_raw_risk
 from riskloom.operators.upsert import upsert
 from riskloom.params import RiskParams
 from riskloom.schemas import ACTIVITY_SCHEMA, RISK_LEVELS
@@ -49,6 +51,13 @@ METADATA_COLS = [
 ]
 
 
+_COMMIT_SCHEMA = (
+    "batch_id long, batch_num int, total_batches int, users_in_batch int, "
+    "total_users_processed int, timestamp timestamp, high_risk_count long, "
+    "critical_risk_count long, low double, high double, days array<int>, snapshots array<long>"
+)
+
+
 def replay_source(spark: SparkSession, folder: str, files_per_batch: int = 1) -> DataFrame:
     """Stream the activity files of a folder, a few per micro-batch."""
     return (
@@ -73,7 +82,7 @@ class RiskStream:
     # Reading -----------------------------------------------------------------
 
     def _commits(self) -> DataFrame | None:
-        return read_if_exists(self.spark, f"{self.folder}/commits")
+        return read_if_exists(self.spark, f"{self.folder}/commits", _COMMIT_SCHEMA)
 
     def _last_commit(self, before: int | None = None) -> Row | None:
         commits = self._commits()
@@ -109,11 +118,9 @@ class RiskStream:
 
     def _scored(self, commit: Row) -> DataFrame:
         low, high = F.lit(commit["low"]).cast("double"), F.lit(commit["high"]).cast("double")
-        return self._levels(self._part("raw", commit["batch_id"]), low, high)
-
-    def _levels(self, raw: DataFrame, low: Column, high: Column) -> DataFrame:
         score = fn.scale_to_100(F.col("risk_score_raw"), low, high)
         level = fn.risk_level(F.col("risk_score"), self.params)
+        raw = self._part("raw", commit["batch_id"])
         return raw.withColumn("risk_score", score).withColumn("risk_level", level)
 
     # Writing -----------------------------------------------------------------
@@ -127,38 +134,49 @@ class RiskStream:
             batch.unpersist()
 
     def _process(self, batch: DataFrame, batch_id: int) -> None:
-        seen = batch.agg(F.collect_set("day").alias("days")).first()["days"]  # calendar days
-        if not seen and batch.isEmpty():
+        seen = batch.agg(
+            F.collect_set("day").alias("days"),  # calendar days
+            F.count_distinct("user_id").alias("users"),
+        ).first()
+        if not seen["users"]:
             return
         previous = self._last_commit(before=batch_id)
         old_days = set(previous["days"]) if previous else set()
-        days = sorted(old_days | set(seen))
+        days = sorted(old_days | set(seen["days"]))
         stats = self._write_stats(user_stats(batch), previous, batch_id)
         touched = batch.select("user_id").where("user_id is not null").distinct()
         raw = self._write_raw(stats, touched, previous, set(days) != old_days, days, batch_id)
-        low, high = raw_range(raw).first()
-        counts = (
-            self._levels(raw, F.lit(low).cast("double"), F.lit(high).cast("double"))
+        after = (
+            with_levels(raw, self.params)
             .agg(
                 F.count(F.lit(1)).alias("users"),
                 *(F.count_if(F.col("risk_level") == lv).alias(lv) for lv in RISK_LEVELS),
+                F.min(fn.without_nan(F.col("risk_score_raw"))).alias("low"),
+                F.max(fn.without_nan(F.col("risk_score_raw"))).alias("high"),
             )
             .first()
         )
+        snapshots = [i for i in (previous["snapshots"] if previous else []) if i != batch_id]
+        stale, kept = snapshots[: -self.keep], snapshots[-self.keep :]
+        row = {
+            "batch_num": (previous["batch_num"] if previous else 0) + 1,
+            "total_batches": self.total_batches,
+            "users_in_batch": seen["users"],
+            "total_users_processed": after["users"],
+            "timestamp": datetime.now(),
+            "high_risk_count": after["High"],
+            "critical_risk_count": after["Critical"],
+            "low": after["low"],
+            "high": after["high"],
+            "days": days,
+            "snapshots": [*kept, batch_id],
+        }
+        kinds = dict(f.rsplit(" ", 1) for f in _COMMIT_SCHEMA.split(", "))
         commit = self.spark.range(1).select(
-            F.lit((previous["batch_num"] if previous else 0) + 1).cast("int").alias("batch_num"),
-            F.lit(self.total_batches).cast("int").alias("total_batches"),
-            F.lit(touched.count()).cast("int").alias("users_in_batch"),
-            F.lit(counts["users"]).cast("int").alias("total_users_processed"),
-            F.current_timestamp().alias("timestamp"),
-            F.lit(counts["High"]).cast("long").alias("high_risk_count"),
-            F.lit(counts["Critical"]).cast("long").alias("critical_risk_count"),
-            F.lit(low).cast("double").alias("low"),
-            F.lit(high).cast("double").alias("high"),
-            F.lit(days).cast("array<int>").alias("days"),
+            *(F.lit(value).cast(kinds[name]).alias(name) for name, value in row.items())
         )
         self._write(commit, "commits", batch_id)
-        self._drop_old(batch_id)
+        self._drop(stale)
 
     def _write(self, df: DataFrame, table: str, batch_id: int) -> DataFrame:
         path = f"{self.folder}/{table}/batch_id={batch_id}"
@@ -196,11 +214,8 @@ class RiskStream:
             raw = upsert(self._part("raw", previous["batch_id"]), raw)
         return self._write(raw, "raw", batch_id)
 
-    def _drop_old(self, batch_id: int) -> None:
-        """Remove snapshots older than the kept ones; commits stay."""
-        commits = self._commits().where(F.col("batch_id") <= batch_id)
-        newest = commits.select("batch_id").orderBy(F.desc("batch_id")).limit(self.keep + 2)
-        stale = [r["batch_id"] for r in newest.collect()][self.keep + 1 :]
+    def _drop(self, stale: list[int]) -> None:
+        """Remove snapshots that no commit lists any more; commits stay."""
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for old in stale:
