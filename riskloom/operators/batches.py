@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions import risk as fn
-from riskloom.functions.ordering import before_each, number_rows
+from riskloom.functions.ordering import CHUNK, before_each, number_rows
 from riskloom.params import RiskParams
 from riskloom.sources.staging import stage
 
@@ -37,7 +37,9 @@ def user_batches(users: DataFrame, batch_size: int) -> DataFrame:
     )
 
 
-def batch_metadata(raw: DataFrame, batch_size: int, params: RiskParams) -> DataFrame:
+def batch_metadata(
+    raw: DataFrame, batch_size: int, params: RiskParams, chunk: int = CHUNK
+) -> DataFrame:
     """One row per replay batch: sizes and High/Critical counts of all users so far.
 
     Every batch re-normalises all users seen up to it, so a level depends on the
@@ -49,10 +51,15 @@ def batch_metadata(raw: DataFrame, batch_size: int, params: RiskParams) -> DataF
     risk = raw.select("user_id", fn.without_nan(F.col("risk_score_raw")).alias("raw"))
     rows = user_batches(risk, batch_size)
     sizes = ["total_batches", "users_in_batch", "total_users_processed"]
+    last = rows.agg(F.max("total_batches")).first()[0] or 0
+
+    def before(table: DataFrame, columns: dict[str, str], group: str | None = None) -> DataFrame:
+        return before_each(table, "batch_num", columns, group, last, chunk)
+
     per_batch = rows.groupBy("batch_num", *sizes).agg(
         F.min("raw").alias("low"), F.max("raw").alias("high")
     )
-    ranges = before_each(per_batch, "batch_num", {"low": "min", "high": "max"})
+    ranges = before(per_batch, {"low": "min", "high": "max"})
     new_extreme = (F.col("low") < F.col("pre_low")) | (F.col("high") > F.col("pre_high"))
     ranges = ranges.select(
         "batch_num",
@@ -61,7 +68,7 @@ def batch_metadata(raw: DataFrame, batch_size: int, params: RiskParams) -> DataF
         F.greatest("high", "pre_high").alias("high"),
         F.when(F.col("pre_low").isNull() | new_extreme, 1).otherwise(0).alias("start"),
     )
-    periods = before_each(ranges, "batch_num", {"start": "sum"})
+    periods = before(ranges, {"start": "sum"})
     period = F.col("start") + F.coalesce("pre_start", F.lit(0))
     periods = stage(periods.withColumn("period", period).drop("pre_start"), "periods")
     arrived = (
@@ -70,7 +77,7 @@ def batch_metadata(raw: DataFrame, batch_size: int, params: RiskParams) -> DataF
         .groupBy("batch_num", *sizes, "period")
         .agg(_level(params, "High").alias("high"), _level(params, "Critical").alias("critical"))
     )
-    counts = before_each(arrived, "batch_num", {"high": "sum", "critical": "sum"}, group="period")
+    counts = before(arrived, {"high": "sum", "critical": "sum"}, group="period")
     counts = counts.join(_carried_counts(rows, periods, params), "period", "left")
 
     def upto(level: str) -> Column:
@@ -97,7 +104,7 @@ def _carried_counts(rows: DataFrame, periods: DataFrame, params: RiskParams) ->
     spark = rows.sparkSession
     schema = "period long, high_old long, critical_old long"
     counted = spark.createDataFrame([], schema)
-    last = starts.agg(F.max("period")).first()[0] or 0
+    last = starts.agg(F.max("period")).first()[0] or 0  # one more than the range changes
     for first in range(1, last + 1, _PERIODS_PER_PASS):
         piece = starts.where(F.col("period").between(first, first + _PERIODS_PER_PASS - 1))
         shared = spark.sparkContext.broadcast([tuple(r) for r in piece.collect()])

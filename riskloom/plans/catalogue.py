@@ -19,6 +19,7 @@ from riskloom.operators.activity import daily_activity, for_users, roles_of
 from riskloom.operators.upsert import upsert
 from riskloom.params import RiskParams
 from riskloom.plans import pipeline
+from riskloom.schemas import CUSTOMER_SCHEMA, EVENT_SCHEMA
 from riskloom.sources.ship import ship_package
 from riskloom.sources.staging import new_path, stage
 from riskloom.sources.tables import load_or_compute, write_alerts_csv, write_table
@@ -56,13 +57,13 @@ def rounded(df: DataFrame) -> DataFrame:
     return df.select(*(column(f) for f in df.schema))
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def _customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(CUSTOMER_SCHEMA).parquet(f"{sf_dir}/customer.parquet")
 
 
 def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    roles = roles_of(_table(spark, sf_dir, "customer"))
-    return daily_activity(_table(spark, sf_dir, "events"), roles)
+    events = spark.read.schema(EVENT_SCHEMA).parquet(f"{sf_dir}/events.parquet")
+    return daily_activity(events, roles_of(_customer(spark, sf_dir)))
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,7 +99,7 @@ def user_features(spark, sf_dir):
 @_register
 def features_for_users(spark, sf_dir):
     """Features of a watch list: the customers in debt."""
-    debtors = _table(spark, sf_dir, "customer").where("c_acctbal < 0")
+    debtors = _customer(spark, sf_dir).where("c_acctbal < 0")
     log = for_users(activity(spark, sf_dir), debtors.withColumnRenamed("c_custkey", "user_id"))
     return rounded(features.user_features(log))
 
@@ -377,10 +378,9 @@ def stream_metadata(spark, sf_dir):
 @_register
 def stream_daily_activity(spark, sf_dir):
     path, checkpoint = new_path(spark, "daily"), new_path(spark, "daily-checkpoint")
-    events = _table(spark, sf_dir, "events")
-    reader = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet")
+    reader = spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", "events.parquet")
     source = reader.parquet(sf_dir)
-    days = daily_activity_stream(source, roles_of(_table(spark, sf_dir, "customer")))
+    days = daily_activity_stream(source, roles_of(_customer(spark, sf_dir)))
     query = (
         days.writeStream.format("parquet")
         .option("path", path)

@@ -20,6 +20,10 @@ ACTIVITY_SCHEMA = T.StructType(
     ]
 )
 
+# The columns the engine uses of the raw events and of the customer dimension.
+EVENT_SCHEMA = "ts timestamp_ntz, user_id long, event_type string, value double"
+CUSTOMER_SCHEMA = "c_custkey long, c_acctbal double, c_mktsegment string"
+
 # Names and order of the 18 behaviour features.
 FEATURE_COLS = [
     "login_mean",

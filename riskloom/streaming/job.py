@@ -24,6 +24,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.types import StructType
 
 from riskloom.functions import risk as fn
 from riskloom.models.ensemble import Models, score_raw
@@ -92,8 +93,9 @@ class RiskStream:
             commits = commits.where(F.col("batch_id") < before)
         return commits.orderBy(F.desc("batch_id")).limit(1).first()
 
-    def _part(self, table: str, batch_id: int) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{table}/batch_id={batch_id}")
+    def _part(self, table: str, batch_id: int, schema: StructType | None = None) -> DataFrame:
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return reader.parquet(f"{self.folder}/{table}/batch_id={batch_id}")
 
     def current_scores(self) -> DataFrame | None:
         """Every user seen so far, scored over all of them, highest risk first."""
@@ -179,13 +181,12 @@ class RiskStream:
         self._drop(stale)
 
     def _write(self, df: DataFrame, table: str, batch_id: int) -> DataFrame:
-        path = f"{self.folder}/{table}/batch_id={batch_id}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        df.write.mode("overwrite").parquet(f"{self.folder}/{table}/batch_id={batch_id}")
+        return self._part(table, batch_id, df.schema)
 
     def _write_stats(self, new: DataFrame, previous: Row | None, batch_id: int) -> DataFrame:
         if previous is not None:
-            new = merge_stats(self._part("stats", previous["batch_id"]), new)
+            new = merge_stats(self._part("stats", previous["batch_id"], new.schema), new)
         return self._write(new, "stats", batch_id)
 
     def _write_raw(
@@ -211,7 +212,7 @@ class RiskStream:
             scored = score_raw(features, self.models, mode="stream")
         raw = with_raw_risk(scored, self.params)
         if not everyone:
-            raw = upsert(self._part("raw", previous["batch_id"]), raw)
+            raw = upsert(self._part("raw", previous["batch_id"], raw.schema), raw)
         return self._write(raw, "raw", batch_id)
 
     def _drop(self, stale: list[int]) -> None:

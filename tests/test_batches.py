@@ -20,6 +20,7 @@ def brute_force(raw, size):
     return out
 
 
+@pytest.mark.parametrize("chunk", [3, 10_000])
 @pytest.mark.parametrize(
     "raw",
     [
@@ -29,11 +30,11 @@ def brute_force(raw, size):
         [2.0, float("nan"), 3.0, 8.0, None, 1.0],
     ],
 )
-def test_metadata_equals_replaying_every_batch(spark, raw):
+def test_metadata_equals_replaying_every_batch(spark, raw, chunk):
     table = spark.createDataFrame(
         [(100 + 3 * i, r) for i, r in enumerate(raw)], "user_id long, risk_score_raw double"
     )
-    got = batches.batch_metadata(table.repartition(5), 4, P).orderBy("batch_num").collect()
+    got = batches.batch_metadata(table.repartition(5), 4, P, chunk).orderBy("batch_num").collect()
     want = brute_force([np.nan if r is None else r for r in raw], 4)
     assert [tuple(r) for r in got] == want
 
