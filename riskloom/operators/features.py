@@ -8,9 +8,11 @@ stored ones.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from riskloom.sources.staging import stage
+
 # statistic -> (measured column, day kind or None for all days)
 _COUNTED = {
     "login": ("login_hour", None),
@@ -164,10 +166,37 @@ def features_from_stats(stats: DataFrame, n_days: Column) -> DataFrame:
     )
 
 
-def user_features(activity: DataFrame) -> DataFrame:
-    """Raw features of every user of an activity log.
+# Days a bitmap of one aggregate can hold: indexes 0 .. 32766.
+_BITMAP_DAYS = 32_767
+
+
+def stored_stats(activity: DataFrame) -> tuple[DataFrame, int]:
+    """User statistics as a staged table, and the number of distinct days.
 
-    The day count is an uncorrelated scalar subquery: it reads only the columns
-    that decide it and reaches the rows as a literal, without a join.
+    The day count is observed while the rows flow into the statistics, so the
+    activity is read and shuffled once. Day indexes beyond the bitmap, or before
+    day 0, are counted by a query of their own.
     """
-    return features_from_stats(user_stats(activity), distinct_days(activity).scalar())
+    days = Observation()
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position(F.col("day") + 1))
+    watched = activity.observe(
+        days,
+        F.min("day").alias("first"),
+        F.max("day").alias("last"),
+        F.bitmap_count(bits).alias("n_days"),
+    )
+    stats = stage(user_stats(watched), "user-stats")
+    if stats.isEmpty():  # the observation of an empty plan never fires
+        return stats, 0
+    seen = days.get
+    if seen["first"] is None:
+        return stats, 0
+    if seen["first"] < 0 or seen["last"] >= _BITMAP_DAYS:
+        return stats, distinct_days(activity).first()["n_days"]
+    return stats, seen["n_days"]
+
+
+def user_features(activity: DataFrame) -> DataFrame:
+    """Raw features of every user of an activity log."""
+    stats, n_days = stored_stats(activity)
+    return features_from_stats(stats, F.lit(n_days))

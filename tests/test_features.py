@@ -100,3 +100,15 @@ def test_scaler(spark):
 def test_missing_feature_is_named(spark):
     with pytest.raises(ValueError, match="login_std"):
         scaling.fit_scaler(spark.createDataFrame([(1.0,)], "login_mean double"))
+
+
+@pytest.mark.parametrize("days", [[0, 1, 7], [-3, 0, 1, 1], [0, 32_766, 32_767, 70_000], [5]])
+def test_day_count(activity_of, days):
+    log = activity_of([{"user_id": u, "day": d} for u in (1, 2) for d in days])
+    _, count = features.stored_stats(log.repartition(3))
+    assert count == len(set(days)) == features.distinct_days(log).first()[0]
+
+
+def test_empty_log(activity_of):
+    log = activity_of([{"user_id": 1}]).where("day > 5")
+    assert features.user_features(log).count() == 0

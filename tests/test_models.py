@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from riskloom.models import autoencoder, isolation_forest, one_class_svm
+from riskloom.models.arrays import sharded, sum_over_shards
 from riskloom.models.ensemble import fit_models, load_models, save_models, score_raw, score_scaled
 from riskloom.operators.features import user_features
 from riskloom.params import AutoencoderParams, ForestParams, RiskParams, SvmParams
@@ -122,6 +123,17 @@ def test_svm_with_fewer_landmarks_than_users(planted, scores):
     assert np.corrcoef(got["svm_score"].rank(), scores["svm_score"].rank())[0, 1] > 0.9
 
 
+@pytest.mark.parametrize("shards", [3, 70])
+def test_sums_over_few_and_many_shards(spark, shards):
+    table = spark.range(500).selectExpr("id AS user_id", "double(id) AS a", "1D AS b")
+    data = sharded(table, ["a", "b"], shards)
+    total = sum_over_shards(
+        data, shards, lambda blocks: sum((b.sum(axis=0) for b in blocks), np.zeros(2))
+    )
+    data.unpersist()
+    assert total.tolist() == [500 * 499 / 2, 500.0]
+
+
 def test_network_gradient():
     sizes = [4, 3, 4]
     rng = np.random.default_rng(0)
