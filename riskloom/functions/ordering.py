@@ -11,9 +11,11 @@ from pyspark.sql import Window as W
 from riskloom.sources.staging import stage
 
 
-def number_rows(df: DataFrame, key: str, out: str) -> DataFrame:
+def number_rows(df: DataFrame, key: str, out: str) -> tuple[DataFrame, int]:
     """Add the 1-based position of each row in ascending order of a unique ``key``.
 
+    Also returns the number of rows.
+
     Rows are range-partitioned and numbered inside their partition; the table of
     partition sizes, one row per partition, gives each partition its offset.
     The numbered rows are staged because range bounds are sampled per execution.
@@ -25,9 +27,9 @@ def number_rows(df: DataFrame, key: str, out: str) -> DataFrame:
     before = F.sum("_size").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1))
     offsets = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_offset"))
     within = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
-    return placed.join(F.broadcast(offsets), "_part").select(  # one row per partition
-        *df.columns, (F.col("_offset") + within + 1).alias(out)
-    )
+    numbered = placed.join(F.broadcast(offsets), "_part")  # one row per partition
+    position = (F.col("_offset") + within + 1).alias(out)
+    return numbered.select(*df.columns, position), placed.count()
 
 
 CHUNK = 10_000

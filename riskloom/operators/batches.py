@@ -24,17 +24,22 @@ def user_batches(users: DataFrame, batch_size: int) -> DataFrame:
     ``users`` has one row per user and keeps its columns. Adds ``batch_num``,
     ``total_batches``, ``users_in_batch`` and ``total_users_processed`` (so far).
     """
-    numbered = number_rows(users, "user_id", "_pos")
-    total = numbered.agg(F.max("_pos")).scalar()
+    return _batched(users, batch_size)[0]
+
+
+def _batched(users: DataFrame, batch_size: int) -> tuple[DataFrame, int]:
+    numbered, total = number_rows(users, "user_id", "_pos")
+    batches = -(-total // batch_size)
     batch = F.ceil(F.col("_pos") / batch_size)
-    done = F.least(batch * batch_size, F.col("_total"))
-    return numbered.withColumn("_total", total).select(
+    done = F.least(batch * batch_size, F.lit(total))
+    rows = numbered.select(
         *users.columns,
         batch.cast("int").alias("batch_num"),
-        F.ceil(F.col("_total") / batch_size).cast("int").alias("total_batches"),
+        F.lit(batches).cast("int").alias("total_batches"),
         (done - (batch - 1) * batch_size).cast("int").alias("users_in_batch"),
         done.cast("int").alias("total_users_processed"),
     )
+    return rows, batches
 
 
 def batch_metadata(
@@ -49,9 +54,8 @@ def batch_metadata(
     arrives, and again for later periods, where only counts leave each task.
     """
     risk = raw.select("user_id", fn.without_nan(F.col("risk_score_raw")).alias("raw"))
-    rows = user_batches(risk, batch_size)
+    rows, last = _batched(risk, batch_size)
     sizes = ["total_batches", "users_in_batch", "total_users_processed"]
-    last = rows.agg(F.max("total_batches")).first()[0] or 0
 
     def before(table: DataFrame, columns: dict[str, str], group: str | None = None) -> DataFrame:
         return before_each(table, "batch_num", columns, group, last, chunk)

@@ -247,6 +247,9 @@ FROM metadata""",
             _scored("merged"),
         )
         + f"SELECT {_SCORED_LIST} FROM scored",
+        # Days that ended at least one day (the watermark) before the newest event.
+        "stream_daily_activity": f"""{on_daily}SELECT * FROM daily
+WHERE DATE '2024-01-01' + (day + 1) <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY""",
         "stream_scored": scored_sql,
         "stream_features": features_sql,
     }

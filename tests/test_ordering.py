@@ -8,7 +8,9 @@ from riskloom.functions.ordering import before_each, exact_quantile, number_rows
 
 def test_positions_follow_the_key(spark):
     ids = spark.range(0, 500).select((F.col("id") * 37 % 1009).alias("k")).repartition(7)
-    got = {r["k"]: r["pos"] for r in number_rows(ids, "k", "pos").collect()}
+    numbered, total = number_rows(ids, "k", "pos")
+    got = {r["k"]: r["pos"] for r in numbered.collect()}
+    assert total == 500
     assert [got[k] for k in sorted(got)] == list(range(1, 501))
 
 
