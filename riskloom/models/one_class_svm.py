@@ -27,11 +27,20 @@ from riskloom.models.arrays import sum_over_shards, vectors_of
 from riskloom.params import RiskParams, SvmParams
 
 _DAMPING = 0.1  # curvature in rho that stays when no user is near the border
-_NARROWEST = 0.02  # last smoothing width, relative to the spread of projections
-_TOLERANCE = 1e-4
+_TOLERANCE = 1e-3  # last Newton gain, relative to the squared norm of w
 _MOST_SETTLED = 1000  # border users whose multipliers are solved for exactly
 
 
+def _narrowest(users: int) -> float:
+    """Last smoothing width relative to the spread of projections.
+
+    Wider where the border will hold few enough users to be settled exactly.
+    """
+    return 0.05 if users <= 20 * _MOST_SETTLED else 0.01
+
+
+
+
 @dataclass(frozen=True)
 class SvmModel:
     landmarks: np.ndarray  # landmarks x features
@@ -182,7 +191,7 @@ def _minimise(
         return loss, sums[1 : 1 + size] + np.append(w, -1.0), hessian
 
     point, width = np.append(mean, first - 1.645 * spread), spread
-    narrowest = spread * _NARROWEST
+    narrowest = spread * _narrowest(users)
     loss, gradient, hessian = evaluate(point, width)
     done = 1
     while done < svm.max_passes:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,14 +52,23 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, target = _hadoop(spark, path)
+    fs.delete(target, True)
+
+
 def read_if_exists(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    try:
-        return reader.parquet(path)
-    except AnalysisException as err:
-        if err.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+    fs, target = _hadoop(spark, path)
+    if not fs.exists(target):
+        return None
+    return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
+
+
+def _hadoop(spark: SparkSession, path: str) -> tuple:
+    """File system and path object of a location, whatever its scheme."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(context._jsc.hadoopConfiguration()), target
 
 
 def load_or_compute(

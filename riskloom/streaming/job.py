@@ -39,7 +39,7 @@ from riskloom.operators.risk import ranked, with_levels, with_raw_risk
 from riskloom.operators.upsert import upsert
 from riskloom.params import RiskParams
 from riskloom.schemas import ACTIVITY_SCHEMA, RISK_LEVELS
-from riskloom.sources.tables import read_if_exists
+from riskloom.sources.tables import delete_path, read_if_exists
 
 METADATA_COLS = [
     "batch_num",
@@ -217,12 +217,9 @@ class RiskStream:
 
     def _drop(self, stale: list[int]) -> None:
         """Remove snapshots that no commit lists any more; commits stay."""
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for old in stale:
             for table in ("stats", "raw"):
-                path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{table}/batch_id={old}")
-                path.getFileSystem(conf).delete(path, True)
+                delete_path(self.spark, f"{self.folder}/{table}/batch_id={old}")
 
     def start(self, source: DataFrame, available_now: bool = False) -> StreamingQuery:
         """Run over a stream of activity rows, at the configured interval by default."""

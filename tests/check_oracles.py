@@ -12,6 +12,9 @@ from pyspark.sql import SparkSession
 import __spark_entry__ as entry_point
 
 
+KINDS = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+
+
 def rows_of(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return sorted(repr(tuple(r[i] for i in order)) for r in rows)
@@ -56,12 +59,13 @@ def main(sf_dir: str, names: list[str]) -> int:
             print(f"{name:24s} SQL ERROR {str(err)[:600]}", flush=True)
             continue
         a, b = rows_of(df.columns, got), rows_of(columns, want)
-        same = sorted(df.columns) == sorted(columns) and a == b
-        kinds = [str(c[1]) for c in con.execute(sql[name]).description]
+        kinds = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql[name]}").fetchall()}
+        same_kinds = kinds == {f.name: KINDS.get(f.dataType.simpleString()) for f in df.schema}
+        same = sorted(df.columns) == sorted(columns) and a == b and same_kinds
         print(f"{name:24s} {'ok ' if same else 'BAD'} rows={len(a)}/{len(b)} {took:.2f}s", flush=True)
         if not same:
             bad += 1
-            print("   ", sorted(df.columns), sorted(columns), kinds)
+            print("   ", df.schema.simpleString(), kinds)
             only_a, only_b = sorted(set(a) - set(b)), sorted(set(b) - set(a))
             for x, y in list(zip(only_a, only_b))[:3]:
                 print("    spark", x[:400], "\n    sql  ", y[:400])
