@@ -20,7 +20,7 @@ from riskloom.models.autoencoder import AutoencoderModel
 from riskloom.models.one_class_svm import SvmModel
 from riskloom.operators.scaling import apply_scaler, fit_scaler, scaler_lookup
 from riskloom.params import RiskParams
-from riskloom.schemas import FEATURE_COLS, MODEL_SCORES, require_features
+from riskloom.schemas import MODEL_SCORES, require_features
 from riskloom.sources.staging import stage
 from riskloom.sources.tables import read_if_exists, write_table
 

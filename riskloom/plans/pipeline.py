@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from riskloom.models.ensemble import Models, fit_models, save_models, score_raw, score_scaled, with_offset
+from riskloom.models.ensemble import (
+    Models,
+    fit_models,
+    save_models,
+    score_raw,
+    score_scaled,
+    with_offset,
+)
 from riskloom.operators.features import risk_totals, user_features
 from riskloom.operators.risk import ranked, with_levels, with_raw_risk
 from riskloom.params import RiskParams
