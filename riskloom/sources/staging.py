@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _DIR_KEY = "spark.checkpoint.dir"
+_local_folders: dict[str, str] = {}  # by application, where no folder is configured
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -21,9 +22,10 @@ def shared_dir(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {_DIR_KEY} to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="riskloom-")
-    spark.conf.set(_DIR_KEY, folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="riskloom-")
+    return _local_folders[application]
 
 
 def new_path(spark: SparkSession, label: str) -> str:
