@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 import __spark_entry__ as entry_point
 
 
-KINDS = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+KINDS = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 def rows_of(columns, rows):
