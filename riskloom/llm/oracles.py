@@ -33,6 +33,68 @@ def line_dedup_sql(docs: str, columns: str) -> str:
     """
 
 
+def ngram_components_sql(docs: str, columns: str, tail: str = "") -> str:
+    """All pairs that share an n-gram are compared; components by walking the links."""
+    word = "'[^\\x20\\x09-\\x0D]+'"
+    return f"""
+    WITH RECURSIVE worded AS (
+      SELECT *, regexp_extract_all({lower_ascii("coalesce(text, '')")}, {word}) AS words FROM {docs}),
+    grams AS (
+      SELECT DISTINCT doc_id, list_slice(words, i, i + 2) AS gram
+      FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 1, 2))) AS i
+            FROM worded WHERE len(words) > 0)),
+    sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+    pairs AS (
+      SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS common
+      FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY 1, 2),
+    links AS (
+      SELECT u, v FROM pairs JOIN sizes s ON s.doc_id = u JOIN sizes t ON t.doc_id = v
+      WHERE 100 * common >= 90 * (s.n + t.n - common)),
+    edges AS MATERIALIZED (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+    reach AS (
+      SELECT u AS node, u AS seen FROM edges UNION SELECT node, v FROM reach JOIN edges ON seen = u),
+    component AS (SELECT node, min(seen) AS component FROM reach GROUP BY node),
+    grouped AS (
+      SELECT w.*, coalesce(n, 0) AS n_shingles, coalesce(component, w.doc_id) AS component_id
+      FROM worded w LEFT JOIN sizes s ON s.doc_id = w.doc_id LEFT JOIN component c ON c.node = w.doc_id)
+    SELECT {columns} FROM grouped {tail}
+    """
+
+
+def decontamination_sql(docs: str, columns: str, tail: str = "") -> str:
+    word = "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'"
+    return f"""
+    WITH numbered AS (
+      SELECT *, row_number() OVER () AS row_no,
+        regexp_extract_all({lower_ascii("coalesce(text, '')")}, {word}) AS words FROM {docs}),
+    items AS (
+      SELECT item_id, regexp_extract_all({lower_ascii("coalesce(text, '')")}, {word}) AS words
+      FROM benchmark),
+    passages AS (
+      SELECT DISTINCT item_id, len(words) AS n, words AS w FROM items WHERE len(words) BETWEEN 1 AND 9
+      UNION SELECT item_id, 10, list_slice(words, i, i + 9) FROM (
+        SELECT item_id, words, unnest(range(1, len(words) - 8)) AS i FROM items WHERE len(words) >= 10)),
+    lengths AS (SELECT DISTINCT n FROM passages),
+    places AS (
+      SELECT row_no, n, i, list_slice(words, i, i + n - 1) AS w
+      FROM (SELECT row_no, words, n, unnest(range(1, len(words) - n + 2)) AS i FROM numbered, lengths)),
+    met AS (SELECT row_no, i, n, item_id FROM places JOIN passages USING (n, w)),
+    hit AS (
+      SELECT row_no, count(DISTINCT place) AS n_hit
+      FROM (SELECT row_no, unnest(range(i, i + n)) AS place FROM (SELECT DISTINCT row_no, i, n FROM met))
+      GROUP BY row_no),
+    named AS (
+      SELECT row_no, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+      FROM (SELECT DISTINCT row_no, CAST(item_id AS VARCHAR) AS id FROM met WHERE item_id IS NOT NULL)
+      GROUP BY row_no),
+    marked AS (
+      SELECT d.*, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+        sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+      FROM numbered d LEFT JOIN hit USING (row_no) LEFT JOIN named USING (row_no))
+    SELECT {columns} FROM marked {tail}
+    """
+
+
 def source_mixing_sql(docs: str, columns: str, tail: str = "") -> str:
     return f"""
     WITH sized AS (
@@ -136,6 +198,12 @@ def oracles() -> dict[str, str]:
         "op1_line_dedup": line_dedup_sql(
             "documents", "doc_id, n_lines, n_dropped, sha256(kept_text) AS kept_sha256"
         ),
+        "op2_ngram_jaccard_join": ngram_components_sql(
+            "documents", "doc_id, n_shingles, component_id"
+        ),
+        "op6_benchmark_decontamination": decontamination_sql(
+            "documents", "doc_id, n_words, n_hit, n_items, items_sha256, contaminated"
+        ),
         "op8_source_mixing": source_mixing_sql(
             "documents", "doc_id, size, source_size, target, taken, finish"
         ),

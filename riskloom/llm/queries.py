@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm.chat_format import format_chats, read_loss, read_turns
+from riskloom.llm.decontaminate import decontaminate
 from riskloom.llm.line_dedup import drop_common_lines
 from riskloom.llm.mixing import mix_sources
+from riskloom.llm.ngram_join import JaccardRule, jaccard_components
 from riskloom.llm.quality import quality_rules
 
 
@@ -28,6 +30,24 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_components(docs, JaccardRule(words=3, percent=90))
+
+
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    items = table(spark, sf_dir, "benchmark")
+    return decontaminate(docs, items, window=10).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        sha256(F.array_join("item_ids", ",")).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mix_sources(docs, weights=(1, 2, 3), repeats=3).select(
@@ -80,6 +100,8 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_line_dedup,
+        op2_ngram_jaccard_join,
+        op6_benchmark_decontamination,
         op8_source_mixing,
         op9_quality_rules,
         op10_chat_format,
