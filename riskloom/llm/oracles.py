@@ -95,6 +95,48 @@ def decontamination_sql(docs: str, columns: str, tail: str = "") -> str:
     """
 
 
+def license_sql() -> str:
+    from riskloom.llm.license_scan import NOTICES, PHRASES
+
+    word = "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'"
+    phrases = " UNION ALL ".join(
+        f"SELECT '{label}' AS label, {phrase.split()} AS w" for phrase, label in PHRASES
+    )
+    notices = " UNION ALL ".join(
+        f"SELECT '{label}' AS label, list_distinct({notice.split()}) AS w" for label, notice in NOTICES
+    )
+    return f"""
+    WITH phrases AS ({phrases}), notices AS ({notices}),
+    worded AS (
+      SELECT *, row_number() OVER () AS row_no, string_split(coalesce(text, ''), chr(10)) AS parts,
+        regexp_extract_all({lower_ascii("coalesce(text, '')")}, {word}) AS words FROM documents),
+    places AS (
+      SELECT row_no, label, i - 1 AS place
+      FROM (SELECT row_no, words, unnest(range(1, len(words) + 1)) AS i FROM worded
+            WHERE list_has_any(words, ['cc', 'license', 'reserved'])), phrases
+      WHERE list_slice(words, i, i + len(w) - 1) = w),
+    based AS (
+      SELECT row_no, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
+        string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM places GROUP BY row_no),
+    blocks AS (
+      SELECT row_no, regexp_extract_all({lower_ascii("array_to_string(list_slice(parts, i, i + 1), chr(10))")}, {word}) AS block
+      FROM (SELECT row_no, parts, unnest(range(1, len(parts) + 1)) AS i FROM worded)),
+    shares AS (
+      SELECT row_no, label, len(list_intersect(w, block)) AS common, len(w) AS size FROM blocks, notices),
+    noticed AS (
+      SELECT row_no, label, max(common / size) AS share FROM shares
+      WHERE 100 * common >= 80 * size GROUP BY 1, 2),
+    labelled AS (
+      SELECT row_no, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+      FROM (SELECT row_no, label FROM noticed UNION SELECT row_no, label FROM places) GROUP BY row_no),
+    best AS (SELECT row_no, max(share) AS share FROM noticed GROUP BY row_no)
+    SELECT doc_id, len(words) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+      coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+      CASE WHEN n_base > 0 THEN CAST(1 AS DOUBLE) ELSE coalesce(share, 0) END AS score
+    FROM worded LEFT JOIN based USING (row_no) LEFT JOIN labelled USING (row_no) LEFT JOIN best USING (row_no)
+    """
+
+
 def source_mixing_sql(docs: str, columns: str, tail: str = "") -> str:
     return f"""
     WITH sized AS (
@@ -201,6 +243,7 @@ def oracles() -> dict[str, str]:
         "op2_ngram_jaccard_join": ngram_components_sql(
             "documents", "doc_id, n_shingles, component_id"
         ),
+        "op3_license_scan": license_sql(),
         "op6_benchmark_decontamination": decontamination_sql(
             "documents", "doc_id, n_words, n_hit, n_items, items_sha256, contaminated"
         ),

@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.chat_format import format_chats, read_loss, read_turns
 from riskloom.llm.decontaminate import decontaminate
+from riskloom.llm.language_id import ProfileParams, identify_language, learn_profiles
+from riskloom.llm.license_scan import NOTICES, scan_licenses
 from riskloom.llm.line_dedup import drop_common_lines
 from riskloom.llm.mixing import mix_sources
 from riskloom.llm.ngram_join import JaccardRule, jaccard_components
 from riskloom.llm.quality import quality_rules
+from riskloom.llm.secret_scan import scan_secrets
+from riskloom.llm.toxicity import ToxicityParams, fit_toxicity, score_toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +39,36 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(docs, JaccardRule(words=3, percent=90))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return scan_licenses(docs, NOTICES, percent=80).select(
+        "doc_id",
+        "n_words",
+        "n_base",
+        "first_word",
+        "last_word",
+        "base_labels",
+        "labels",
+        "score",
+    )
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"), ToxicityParams(sample_docs=20_000))
+    return score_toxicity(docs, model).select("doc_id", "toxic", "score", "severity", "grade")
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    rest = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4, F.lit(0))
+    parted = docs.withColumn("held_out", rest == 2)
+    learned = learn_profiles(parted.where(~F.col("held_out")), ProfileParams())
+    return identify_language(parted.select("doc_id", "held_out", "text"), learned).select(
+        "doc_id", "held_out", "lang_pred", "score"
+    )
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     items = table(spark, sf_dir, "benchmark")
@@ -48,6 +82,23 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scanned = scan_secrets(docs)
+    listed = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+    )
+    base = F.filter("spans", lambda s: s["kind"] != "format")
+    return scanned.select(
+        "doc_id",
+        "n_assign",
+        "n_access",
+        "n_hex",
+        sha256(listed(base)).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mix_sources(docs, weights=(1, 2, 3), repeats=3).select(
@@ -101,7 +152,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_line_dedup,
         op2_ngram_jaccard_join,
+        op3_license_scan,
+        op4_toxicity,
+        op5_language_id,
         op6_benchmark_decontamination,
+        op7_secret_scan,
         op8_source_mixing,
         op9_quality_rules,
         op10_chat_format,
