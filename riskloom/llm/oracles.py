@@ -33,15 +33,17 @@ def line_dedup_sql(docs: str, columns: str) -> str:
     """
 
 
-def ngram_components_sql(docs: str, columns: str, tail: str = "") -> str:
+def ngram_components_sql(
+    docs: str, columns: str, tail: str = "", n: int = 3, percent: int = 90
+) -> str:
     """All pairs that share an n-gram are compared; components by walking the links."""
     word = "'[^\\x20\\x09-\\x0D]+'"
     return f"""
     WITH RECURSIVE worded AS (
       SELECT *, regexp_extract_all({lower_ascii("coalesce(text, '')")}, {word}) AS words FROM {docs}),
     grams AS (
-      SELECT DISTINCT doc_id, list_slice(words, i, i + 2) AS gram
-      FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 1, 2))) AS i
+      SELECT DISTINCT doc_id, list_slice(words, i, i + {n - 1}) AS gram
+      FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - {n - 2}, 2))) AS i
             FROM worded WHERE len(words) > 0)),
     sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
     pairs AS (
@@ -49,7 +51,7 @@ def ngram_components_sql(docs: str, columns: str, tail: str = "") -> str:
       FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY 1, 2),
     links AS (
       SELECT u, v FROM pairs JOIN sizes s ON s.doc_id = u JOIN sizes t ON t.doc_id = v
-      WHERE 100 * common >= 90 * (s.n + t.n - common)),
+      WHERE 100 * common >= {percent} * (s.n + t.n - common)),
     edges AS MATERIALIZED (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
     reach AS (
       SELECT u AS node, u AS seen FROM edges UNION SELECT node, v FROM reach JOIN edges ON seen = u),
