@@ -15,8 +15,9 @@ from riskloom.llm.text import let
 class ChatTemplate:
     """How turns are marked, which roles are learned, and which turn may follow which.
 
-    ``guard`` stands in every control string; inside texts and roles it and the
-    escape sign are prefixed with the escape sign, so no text holds a control string.
+    ``guard`` stands in every control string, but not first; inside texts and roles it
+    and the escape sign are prefixed with the escape sign, so no text holds a control
+    string.
     ``turns`` lists (state, role, next state); a conversation may end in ``ends``.
     """
 
@@ -35,6 +36,10 @@ class ChatTemplate:
     )
     ends: tuple[str, ...] = ("answered",)
 
+    def __post_init__(self) -> None:
+        if min(self.open.find(self.guard), self.close.find(self.guard)) < 1:
+            raise ValueError("the guard must stand inside both control strings")
+
 
 def escaped(template: ChatTemplate, text: Column) -> Column:
     sign = template.escape
@@ -48,14 +53,16 @@ def unescaped(template: ChatTemplate, text: Column) -> Column:
 
 
 def _role_escaped(template: ChatTemplate, role: Column) -> Column:
-    """As a text, and without the line break that ends the role."""
-    return F.replace(escaped(template, role), F.lit("\n"), F.lit(template.escape + "n"))
+    """As a text, and without the string that ends the role."""
+    ending = F.lit(template.after_role)
+    return F.replace(escaped(template, role), ending, F.lit(template.escape + "n"))
 
 
 def _role_unescaped(template: ChatTemplate, role: Column) -> Column:
     sign = re.escape(template.escape)
-    line_break = f"(?<!{sign})((?:{sign}{sign})*+){sign}n"
-    return unescaped(template, F.regexp_replace(role, line_break, "$1\n"))
+    stand_in = f"(?<!{sign})((?:{sign}{sign})*+){sign}n"
+    ending = re.sub(r"([\\$])", r"\\\1", template.after_role)
+    return unescaped(template, F.regexp_replace(role, stand_in, f"$1{ending}"))
 
 
 def format_chats(turns: DataFrame, template: ChatTemplate | None = None) -> DataFrame:
