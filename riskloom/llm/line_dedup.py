@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.text import BLANK_CHARS, kept_names, lower_ascii, row_digest, sealed, unsealed, up_to
+from riskloom.llm.text import (
+    BLANK_CHARS,
+    kept_names,
+    lower_ascii,
+    row_digest,
+    sealed,
+    unsealed,
+    up_to,
+)
+from riskloom.sources.staging import stage
 
 OUTPUTS = ("text", "n_lines", "n_dropped")
 
@@ -30,8 +39,8 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -
     A document is a distinct ``doc_id``: repeated rows of one id count once, all
     rows without an id count as one document; every row is cleaned and returned.
     A NULL or empty text is one empty line and comes back empty. Lines are
-    exploded and hashed to 128 bits; only hashes, ids and positions are shuffled
-    for the counts, the texts move once, to be reassembled by position. A line
+    exploded and hashed to 128 bits; hashes, ids and positions are written once and
+    shuffled for the counts, the texts move once, to be reassembled by position. A line
     in a third of all documents is one row per id and line when counted, and its
     join partner is a single row, so Spark can split it.
     """
@@ -40,12 +49,15 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -
         row_digest(F.col("text")).alias("digest"),
         F.posexplode(split_lines(F.col("text"))).alias("pos", "line"),
     ).select("doc_id", "digest", "pos", line_key(F.col("line")).alias("key"))
-    hashed = lines.where(F.length("key") >= min_chars).select(
-        "doc_id",
-        "digest",
-        "pos",
-        F.xxhash64("key").alias("h1"),
-        F.xxhash64(F.lit(1), "key").alias("h2"),
+    hashed = stage(
+        lines.where(F.length("key") >= min_chars).select(
+            "doc_id",
+            "digest",
+            "pos",
+            F.xxhash64("key").alias("h1"),
+            F.xxhash64(F.lit(1), "key").alias("h2"),
+        ),
+        "line-hashes",
     )
     common = (
         hashed.select("h1", "h2", "doc_id")
