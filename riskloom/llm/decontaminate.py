@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.text import kept_names, row_digest, sealed, token_words, unsealed
+from riskloom.llm.text import kept_names, let, row_digest, sealed, token_words, unsealed, up_to
 from riskloom.sources.staging import stage
 
 OUTPUTS = ("n_words", "n_hit", "n_items", "item_ids", "contaminated")
@@ -17,10 +17,18 @@ def _sent_if_small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= SMALL_ROWS else df
 
 
-def item_terms(items: DataFrame) -> DataFrame:
-    """Postings of the items: ``item``, ``item_id``, ``off``, ``term``, ``item_words``.
+def _terms(words: Column, length: int) -> Column:
+    """Hashes of ``length`` consecutive words from each place on; fewer at the text's end."""
+    return F.transform(
+        up_to(F.size(words)), lambda i: F.xxhash64(*(F.get(words, i + k) for k in range(length)))
+    )
+
+
+def item_terms(items: DataFrame, length: int) -> DataFrame:
+    """Postings of the items: ``item``, ``item_id``, ``off``, ``term``, ``item_words``, ``words``.
 
-    Equal rows are one item. Terms are 64-bit hashes of words.
+    Equal rows are one item. A term is ``words`` consecutive words: ``length`` of them,
+    or all of a shorter item.
     """
     worded = (
         items.select("item_id", "text")
@@ -28,27 +36,33 @@ def item_terms(items: DataFrame) -> DataFrame:
         .select(
             F.xxhash64("item_id", "text").alias("item"),
             "item_id",
-            F.transform(token_words(F.col("text")), lambda w: F.xxhash64(w)).alias("terms"),
+            token_words(F.col("text")).alias("w"),
         )
     )
+    first = F.slice(
+        _terms(F.col("w"), length), F.lit(1), F.greatest(F.lit(1), F.size("w") - (length - 1))
+    )
     return worded.select(
         "item",
         "item_id",
-        F.size("terms").alias("item_words"),
-        F.posexplode("terms").alias("off", "term"),
+        F.size("w").alias("item_words"),
+        F.least(F.size("w"), F.lit(length)).alias("words"),
+        F.posexplode(first).alias("off", "term"),
     )
 
 
-def positional_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """Postings ``doc_id``, ``digest``, ``pos``, ``term`` of the documents for given terms."""
-    postings = docs.select(
-        "doc_id",
-        row_digest(F.col("text")).alias("digest"),
-        F.posexplode(F.transform(token_words(F.col("text")), lambda w: F.xxhash64(w))).alias(
-            "pos", "term"
-        ),
+def positional_index(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Postings ``doc_id``, ``digest``, ``pos``, ``term`` of the documents for the items' terms."""
+    lengths = sorted(r["words"] for r in wanted.select("words").distinct().collect())
+    words = let(
+        token_words(F.col("text")),
+        lambda w: F.array(*(_terms(w, length) for length in lengths or [1])),
+    )
+    by_length = docs.select(
+        "doc_id", row_digest(F.col("text")).alias("digest"), F.explode(words).alias("terms")
     )
-    return postings.join(_sent_if_small(terms.select("term").distinct()), "term", "left_semi")
+    postings = by_length.select("doc_id", "digest", F.posexplode("terms").alias("pos", "term"))
+    return postings.join(_sent_if_small(wanted.select("term").distinct()), "term", "left_semi")
 
 
 def rarest_anchors(index: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
@@ -57,23 +71,27 @@ def rarest_anchors(index: DataFrame, wanted: DataFrame, window: int) -> DataFram
     Windows with a term that no document has are left out.
     """
     known = index.groupBy("term").agg(F.count(F.lit(1)).alias("freq"))
-    placed = wanted.join(known, "term").withColumn(
-        "start",
-        F.explode(
-            F.sequence(
-                F.greatest(F.lit(0), F.col("off") - (window - 1)),
-                F.greatest(
-                    F.lit(0), F.least(F.col("off"), F.col("item_words") - window)
-                ),
-            )
-        ),
+    span = F.least(F.lit(window), F.col("item_words")) - F.col("words") + 1
+    last = F.col("item_words") - F.col("words") + 1 - F.col("span")
+    placed = (
+        wanted.join(known, "term")
+        .withColumn("span", span)
+        .withColumn(
+            "start",
+            F.explode(
+                F.sequence(
+                    F.greatest(F.lit(0), F.col("off") - F.col("span") + 1),
+                    F.least(F.col("off"), last),
+                )
+            ),
+        )
     )
     rarest = placed.groupBy("item", "start").agg(
         F.count(F.lit(1)).alias("n"),
-        F.max("item_words").alias("item_words"),
+        F.max("span").alias("span"),
         F.min(F.struct("freq", "off", "term")).alias("best"),
     )
-    whole = rarest.where(F.col("n") == F.least(F.lit(window), F.col("item_words")))
+    whole = rarest.where(F.col("n") == F.col("span"))
     return whole.select("item", "best.off", "best.term").distinct()
 
 
@@ -112,12 +130,14 @@ def passage_matches(
     consecutive places. With a larger ``slop`` it is a proximity match: each word may
     stand up to ``slop`` places from where an exact match would have it.
 
-    1. The index holds the postings of the items' terms; it is written once.
+    1. The index holds the postings of the items' terms and is written once. Terms are
+       pairs of adjacent words, which are far rarer than words (single words for
+       proximity matches and for items of one word); only benchmark terms are kept.
     2. Every window's rarest term proposes (document, item, offset difference).
     3. The offset-adjusted postings of the item's other terms are intersected with
        the proposals, in proposed documents only; runs of offsets are the matches.
     """
-    wanted = stage(item_terms(items), "item-terms")
+    wanted = stage(item_terms(items, 1 if slop else 2), "item-terms")
     index = stage(positional_index(docs, wanted), "postings")
     anchors = stage(rarest_anchors(index, wanted, window), "anchors")
     proposed = stage(
@@ -145,22 +165,24 @@ def passage_matches(
     )
     keys = ["doc_id", "no_id", "digest"]
     met = (
-        expected.join(flat(postings).distinct(), [*keys, "pos", "term"])
+        expected.join(flat(postings), [*keys, "pos", "term"])
         .groupBy(*keys, "item", "diff")
         .agg(
             F.sort_array(F.collect_set("off")).alias("offs"),
             F.first("item_id").alias("item_id"),
             F.first("item_words").alias("item_words"),
+            F.first("words").alias("words"),
         )
     )
-    runs = _runs(F.col("offs"), F.least(F.lit(window), F.col("item_words")))
-    return met.select(*keys, "item", "item_id", "diff", F.explode(runs).alias("run")).select(
+    span = F.least(F.lit(window), F.col("item_words")) - F.col("words") + 1
+    runs = F.explode(_runs(F.col("offs"), span)).alias("run")
+    return met.select(*keys, "item", "item_id", "diff", "words", runs).select(
         F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id"),
         "digest",
         "item",
         "item_id",
         (F.col("diff") + F.col("run.first")).alias("first"),
-        (F.col("diff") + F.col("run.last")).alias("last"),
+        (F.col("diff") + F.col("run.last") + F.col("words") - 1).alias("last"),
     )
 
 
