@@ -28,7 +28,7 @@ class JaccardRule:
     percent: int = 90
     growth: float = 1.5
     spare: int = 2
-    broadcast_ids: int = 1_000_000
+    small_rows: int = 1_000_000
 
     def most_different(self, sizes: int) -> int:
         """Largest symmetric difference of two linked sets whose sizes add up to ``sizes``."""
@@ -148,10 +148,9 @@ def _may_link(rule: JaccardRule) -> Column:
     return fits & ((100 + rule.percent) * most >= rule.percent * sizes)
 
 
-def _only_ids(docs: DataFrame, ids: DataFrame, rule: JaccardRule) -> DataFrame:
-    """Documents with the given ids; a small set of ids is sent to the documents."""
-    few = ids.count() <= rule.broadcast_ids
-    return docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+def _sent_if_small(df: DataFrame, rule: JaccardRule) -> DataFrame:
+    """Broadcast a counted table of few narrow rows; leave a larger one to a shuffled join."""
+    return F.broadcast(df) if df.count() <= rule.small_rows else df
 
 
 def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, rule: JaccardRule) -> DataFrame:
@@ -164,9 +163,8 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, rule: Jaccard
     )
     ids = near.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
     sets = stage(
-        _only_ids(docs, stage(ids, "ids"), rule)
-        .select("doc_id", shingles(F.col("text"), rule.words).alias("set"))
-        .where(F.size("set") > 0),
+        docs.join(_sent_if_small(stage(ids, "ids"), rule), "doc_id", "left_semi")
+        .select("doc_id", shingles(F.col("text"), rule.words).alias("set")),
         "sets",
     )
     first = sets.select(F.col("doc_id").alias("u"), "set")
@@ -176,7 +174,7 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, rule: Jaccard
     return (
         near.join(first, "u")
         .join(second, "v")
-        .where((100 + rule.percent) * common >= rule.percent * total)
+        .where((total > 0) & ((100 + rule.percent) * common >= rule.percent * total))
         .select("u", "v")
         .distinct()
     )
@@ -196,6 +194,8 @@ def jaccard_components(docs: DataFrame, rule: JaccardRule | None = None) -> Data
        large, is a minimum per digest.
     2. Every node shows a key per tile of its size band (``tile_keys``). In each tile
        the smallest node is the pivot: pairs (pivot, member) are as many as members.
+       Tiles are counted with map-side minima first; only the members of tiles with
+       three nodes or more are listed at all.
     3. Pairs are bounded by bit counts, then settled by exact intersection.
     4. Tiles whose members are not in one component yet pair the members of
        different components, under the same bounds inside the join. So no link is
@@ -222,14 +222,31 @@ def jaccard_components(docs: DataFrame, rule: JaccardRule | None = None) -> Data
     classes = stage(
         members.groupBy("d1", "d2").agg(F.min("doc_id").alias("node")), "classes"
     )
-    nodes = members.join(classes, ["d1", "d2"]).where("doc_id = node")
-    narrow = stage(nodes.select("node", "n", "bits").distinct(), "nodes")
-    shown = nodes.select("node", F.explode("tiles").alias("tile"))
-    ends = shown.groupBy("tile").agg(F.min("node").alias("pivot"), F.max("node").alias("last"))
-    crowded = ends.where("pivot < last").select("tile", "pivot")
-    tiled = stage(shown.join(crowded, "tile"), "tiles")
-    stars = tiled.where("node != pivot").select(F.col("pivot").alias("u"), F.col("node").alias("v"))
-    links = stage(_verified(docs, narrow, stars.distinct(), rule), "links")
+    ids = stage(members.select("doc_id", "d1", "d2").join(classes, ["d1", "d2"]), "members")
+    copies = stage(
+        ids.where("doc_id != node").select("doc_id", "d1", "d2").distinct(), "copies"
+    )
+    nodes = members.join(_sent_if_small(copies, rule), ["doc_id", "d1", "d2"], "left_anti")
+    narrow = stage(
+        nodes.select(F.col("doc_id").alias("node"), "n", "bits").distinct(), "nodes"
+    )
+    shown = nodes.select(F.col("doc_id").alias("node"), F.explode("tiles").alias("tile"))
+    met = stage(
+        shown.groupBy("tile")
+        .agg(F.min("node").alias("u"), F.max("node").alias("v"), F.count(F.lit(1)).alias("size"))
+        .where("u < v"),
+        "met",
+    )
+    crowded = met.where("size > 2").select("tile", F.col("u").alias("pivot"))
+    tiled = stage(shown.join(_sent_if_small(crowded, rule), "tile"), "tiles")
+    stars = stage(
+        tiled.where("node != pivot")
+        .select(F.col("pivot").alias("u"), F.col("node").alias("v"))
+        .unionByName(met.where("size = 2").select("u", "v"))
+        .distinct(),
+        "stars",
+    )
+    links = stage(_verified(docs, narrow, stars, rule), "links")
 
     found = connected_components(links)
     labelled = (
@@ -261,7 +278,6 @@ def jaccard_components(docs: DataFrame, rule: JaccardRule | None = None) -> Data
     )
     late = _verified(docs, narrow, across, rule)
 
-    ids = members.select("doc_id", "d1", "d2").join(classes, ["d1", "d2"])
     repeated = ids.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b"))
     same_id = ids.join(repeated.where("a < b"), "doc_id").select(
         F.col("doc_id").alias("u"), F.col("node").alias("v")
