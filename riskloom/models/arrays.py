@@ -10,7 +10,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_FAN_IN = 64
 _PART = "shard int, v binary"  # a vector of doubles as bytes
 
 
@@ -45,12 +44,13 @@ def sum_over_shards(
     data: DataFrame,
     shards: int,
     per_shard: Callable[[Iterator[np.ndarray]], np.ndarray | None],
+    fan_in: int = 64,
 ) -> np.ndarray:
     """Sum of one vector per partition of :func:`sharded` data, in a fixed order.
 
-    The vectors have a length fixed by the model, not by the data. Beyond
-    ``_FAN_IN`` shards they are first added in groups by a second stage, so the
-    driver receives at most ``_FAN_IN`` of them.
+    The vectors have a length fixed by the model, not by the data. They are added
+    in groups of at most ``fan_in``, in as many levels as it takes until no more
+    than that many are left for the driver.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -67,15 +67,14 @@ def sum_over_shards(
             )
 
     parts = data.select("x").mapInArrow(run, _PART)
-    if shards > _FAN_IN:
 
-        def add(group: pd.DataFrame) -> pd.DataFrame:
-            group = group.sort_values("shard")
-            total = _add(group["v"])
-            return pd.DataFrame({"shard": [group["shard"].iloc[0]], "v": [total.tobytes()]})
+    def add(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("shard")
+        number = group["shard"].iloc[0] // fan_in
+        return pd.DataFrame({"shard": [number], "v": [_add(group["v"]).tobytes()]})
 
-        parts = parts.groupBy(F.pmod("shard", F.lit(_FAN_IN))).applyInPandas(
-            add, _PART
-        )
+    while shards > fan_in:
+        parts = parts.groupBy(F.floor(F.col("shard") / fan_in)).applyInPandas(add, _PART)
+        shards = -(-shards // fan_in)
     rows = sorted(parts.collect(), key=lambda r: r["shard"])
     return _add(r["v"] for r in rows)

@@ -122,10 +122,8 @@ def fit(
     sizes = layer_sizes(features, ae)
     start = initial(sizes, params.seed)
     state = np.stack([start, np.zeros_like(start), np.zeros_like(start)])
-    # All shards together take about ``batch`` rows per step.
-    batch = max(50, ae.batch // shard_count)
     rows_per_shard = -(-users // shard_count)
-    steps_per_epoch = -(-rows_per_shard // batch)
+    steps_per_epoch = -(-rows_per_shard // ae.batch)
     context = shards.sparkSession.sparkContext
     best, stale, epoch = np.inf, 0, 0
     while epoch < ae.max_epochs and stale <= ae.patience:
@@ -142,7 +140,7 @@ def fit(
             data = np.concatenate(parts)
             rng = np.random.default_rng([seed, done, TaskContext.get().partitionId()])
             trained, losses = train_locally(
-                data, shared.value, sizes, ae, batch, count, done, rng
+                data, shared.value, sizes, ae, ae.batch, count, done, rng
             )
             return len(data) * np.concatenate([[1.0], losses, trained.ravel()])
 

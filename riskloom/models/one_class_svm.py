@@ -9,8 +9,8 @@ is minimised by Newton steps on a hinge smoothed over a shrinking width. Each
 step is one pass over all users that adds up a loss, a gradient and a Hessian of
 fixed size; the users stay in their partitions.
 
-The support vectors are users in sparse regions. With more users than landmarks
-most landmarks are therefore drawn from the users of lowest kernel density.
+The support vectors are users in sparse regions, so landmarks are drawn with a
+probability that rises steeply as the kernel density at a user falls.
 """
 
 from __future__ import annotations
@@ -27,18 +27,9 @@ from riskloom.models.arrays import sum_over_shards, vectors_of
 from riskloom.params import RiskParams, SvmParams
 
 _DAMPING = 0.1  # curvature in rho that stays when no user is near the border
-_TOLERANCE = 1e-3  # last Newton gain, relative to the squared norm of w
-_MOST_SETTLED = 1000  # border users whose multipliers are solved for exactly
-
-
-def _narrowest(users: int) -> float:
-    """Last smoothing width relative to the spread of projections.
-
-    Wider where the border will hold few enough users to be settled exactly.
-    """
-    return 0.05 if users <= 20 * _MOST_SETTLED else 0.01
-
-
+_TOLERANCE = 1e-8  # last Newton gain, relative to the squared norm of w
+_NARROWEST = 0.01  # last smoothing width, relative to the spread of projections
+_PREFERENCE = 12  # power of 1 / density that weighs the draw of landmarks
 
 
 @dataclass(frozen=True)
@@ -87,34 +78,37 @@ def gamma_of(passes: _Passes, gamma: float | str) -> float:
     return float(rows / (features * variance)) if variance > 1e-12 else 1.0
 
 
-def _by_hash(users: DataFrame, count: int, params: RiskParams) -> np.ndarray:
-    """Vectors of the users with the smallest hashes: a uniform, repeatable choice."""
-    order = F.xxhash64(F.lit(params.seed), F.lit("landmark"), F.col("user_id"))
-    chosen = users.select(order.alias("_h"), "user_id", "x").orderBy("_h", "user_id").limit(count)
+def _vectors(users: DataFrame, order: str, count: int) -> np.ndarray:
+    chosen = users.select(order, "user_id", "x").orderBy(order, "user_id").limit(count)
     return np.array([r["x"] for r in chosen.collect()], dtype=float)
 
 
-def choose_landmarks(passes: _Passes, users: int, gamma: float, params: RiskParams) -> np.ndarray:
-    """All users if they are few, else some of all users and more of the sparse regions."""
+def choose_landmarks(passes: _Passes, gamma: float, params: RiskParams) -> np.ndarray:
+    """``svm.landmarks`` users drawn without replacement, all users if there are no more.
+
+    The draw is the same at every size: a user's hash u gives the key -log(u) x
+    density ** _PREFERENCE, and the smallest keys win (weighted sampling; Efraimidis
+    and Spirakis 2006). The density is the mean kernel to as many users with the
+    smallest hashes. One user more or less thus changes one landmark or two.
+    """
     count = params.svm.landmarks
-    uniform = _by_hash(passes.data, count, params)
-    if users <= count:
-        return uniform
-    shared = passes.context.broadcast(uniform)
+    hashed = F.xxhash64(F.lit(params.seed), F.lit("landmark"), F.col("user_id"))
+    unit = (F.shiftrightunsigned(hashed, 11) + 0.5) * F.lit(2.0**-53)
+    drawn = passes.data.select("user_id", "x", unit.alias("u"))
 
-    def density(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    shared = passes.context.broadcast(_vectors(drawn, "u", count))
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            near = rbf(vectors_of(batch, 1), shared.value, gamma).mean(axis=1)
+            density = rbf(vectors_of(batch, 1), shared.value, gamma).mean(axis=1)
+            u = batch.column(2).to_numpy(zero_copy_only=False)
+            key = np.log(-np.log(u)) + _PREFERENCE * np.log(np.maximum(density, 1e-300))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(near)], names=["user_id", "x", "density"]
+                [*batch.columns[:2], pa.array(key)], names=["user_id", "x", "key"]
             )
 
-    dense = passes.data.mapInArrow(density, "user_id long, x array<double>, density double")
-    share = min(1.0, 2 * params.svm.nu)
-    border = dense.agg(F.percentile_approx("density", share, 10_000)).first()[0]
-    few = count // 4
-    sparse = _by_hash(dense.where(F.col("density") <= border), count - few, params)
-    return np.unique(np.concatenate([uniform[:few], sparse]), axis=0)
+    keyed = drawn.mapInArrow(keys, "user_id long, x array<double>, key double")
+    return _vectors(keyed, "key", count)
 
 
 def _smooth_hinge(gap: np.ndarray, width: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -137,7 +131,7 @@ def fit(data: DataFrame, users: int, shards: int, params: RiskParams) -> SvmMode
         raise ValueError(f"unsupported kernel: {svm.kernel}")
     passes = _Passes(data, shards)
     gamma = gamma_of(passes, svm.gamma)
-    landmarks = choose_landmarks(passes, users, gamma, params)
+    landmarks = choose_landmarks(passes, gamma, params)
     values, vectors = np.linalg.eigh(rbf(landmarks, landmarks, gamma))
     keep = values > 1e-10 * values.max()
     basis = vectors[:, keep] / np.sqrt(values[keep])
@@ -154,7 +148,11 @@ def _minimise(
     gamma: float,
     svm: SvmParams,
 ) -> np.ndarray:
-    """Damped Newton over (w, rho); the smoothing narrows while steps get small."""
+    """Damped Newton over (w, rho); the smoothing narrows while steps get small.
+
+    While the same users stay near the border the error is linear in the width, so
+    the solutions at the last width and at twice that are extrapolated to width 0.
+    """
     space = passes.context.broadcast((landmarks, basis))
     size = basis.shape[1] + 1
     upper = np.triu_indices(size)
@@ -191,7 +189,7 @@ def _minimise(
         return loss, sums[1 : 1 + size] + np.append(w, -1.0), hessian
 
     point, width = np.append(mean, first - 1.645 * spread), spread
-    narrowest = spread * _narrowest(users)
+    narrowest, wider = 2 * spread * _NARROWEST, None
     loss, gradient, hessian = evaluate(point, width)
     done = 1
     while done < svm.max_passes:
@@ -199,7 +197,9 @@ def _minimise(
         gain = float(-gradient @ step)
         size_of_w = float(point[:-1] @ point[:-1])
         if width <= narrowest and gain < _TOLERANCE * size_of_w:
-            break
+            if wider is not None:
+                break
+            wider, narrowest = point, narrowest / 2
         # A narrower hinge is never above a wider one, so losses stay comparable.
         narrower = gain < 0.3 * size_of_w and width > narrowest
         next_width = max(width / 2, narrowest) if narrower else width
@@ -214,67 +214,4 @@ def _minimise(
             length *= min(max(gain * length / (2 * excess), 0.1), 0.6)
         point, width = point + length * step, next_width
         loss, gradient, hessian = trial
-    return _settle_border(passes, point, 3 * width, features, svm.nu * users)
-
-
-def _settle_border(
-    passes: _Passes,
-    point: np.ndarray,
-    reach: float,
-    features: Callable[[np.ndarray], np.ndarray],
-    mass: float,
-) -> np.ndarray:
-    """Undo the smoothing for the users on the border, if they are few.
-
-    Users clearly below the border have multiplier 1, users clearly above it 0.
-    That leaves a small quadratic problem over the multipliers of those near it.
-    With many users near the border smoothing no longer matters.
-    """
-    w, rho = point[:-1], point[-1]
-
-    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            inside = np.abs(features(vectors_of(batch)) @ w - rho) <= reach
-            yield batch.filter(pa.array(inside))
-
-    found = passes.data.select("x").mapInArrow(near, "x array<double>")
-    rows = found.limit(_MOST_SETTLED + 1).collect()
-    if not rows or len(rows) > _MOST_SETTLED:
-        return point
-
-    def below(block: np.ndarray) -> np.ndarray:
-        phi = features(block)
-        phi = phi[phi @ w < rho - reach]
-        return np.append(phi.sum(axis=0), len(phi))
-
-    fixed = passes.total(below)
-    free = mass - fixed[-1]
-    if not 0 < free < len(rows):
-        return point
-    phi = features(np.array([r["x"] for r in rows], dtype=float))
-    kernel, offset = phi @ phi.T, phi @ fixed[:-1]
-    share = _spread_mass(kernel, offset, free)
-    settled = (fixed[:-1] + share @ phi) / mass
-    on_border = (share > 1e-6) & (share < 1 - 1e-6)
-    if on_border.any():
-        rho = float((phi[on_border] @ settled).mean())
-    return np.append(settled, rho)
-
-
-def _spread_mass(kernel: np.ndarray, offset: np.ndarray, mass: float) -> np.ndarray:
-    """Multipliers in [0, 1] of the given sum minimising the norm, by pairwise moves."""
-    share = np.full(len(offset), mass / len(offset))
-    slope = offset + kernel @ share
-    diagonal = np.diag(kernel)
-    for _ in range(50 * len(offset) + 1000):
-        up = int(np.where(share < 1 - 1e-12, slope, np.inf).argmin())
-        down = int(np.where(share > 1e-12, slope, -np.inf).argmax())
-        gap = slope[down] - slope[up]
-        if gap < 1e-9:
-            break
-        curve = max(diagonal[up] + diagonal[down] - 2 * kernel[up, down], 1e-12)
-        move = min(gap / curve, 1 - share[up], share[down])
-        share[up] += move
-        share[down] -= move
-        slope += move * (kernel[:, up] - kernel[:, down])
-    return share
+    return point if wider is None else 2 * point - wider

@@ -37,7 +37,7 @@ class SvmParams:
     gamma: float | str = "scale"
     #: Landmark users spanning the kernel space; exact when it covers all users.
     landmarks: int = 256
-    max_passes: int = 60
+    max_passes: int = 120
     #: "count" multiplies decision values by nu * n, "mean" leaves them as averages.
     scale: str = "count"
 
@@ -49,7 +49,8 @@ class AutoencoderParams:
     max_epochs: int = 500
     learning_rate: float = 0.001
     l2: float = 1e-4
-    batch: int = 200
+    #: Rows of a shard's local training batch.
+    batch: int = 50
     tolerance: float = 1e-4
     patience: int = 10
     #: Epochs each shard runs between two averaging rounds.
@@ -69,21 +70,20 @@ class RiskParams:
     #: Users per replay batch and seconds between micro-batches.
     batch_size: int = 10
     interval_seconds: int = 5
-    #: Shards of the iterative fits. ``None`` derives the number from the user
-    #: count, never from the cores, so a fit repeats on any cluster size.
+    #: Users hash into as many shards as hold at most about ``rows_per_shard`` of them,
+    #: but never fewer than ``min_shards``. The number follows from the user count, not
+    #: from the cores, so a fit repeats on any cluster size. ``shards`` sets it directly.
     shards: int | None = None
+    min_shards: int = 8
     rows_per_shard: int = 100_000
 
     def shard_count(self, users: int) -> int:
-        """At least one training batch of users per shard, and at least 8 if they suffice."""
-        if self.shards:
-            return self.shards
-        batches = -(-users // self.autoencoder.batch)
-        return max(min(8, batches), -(-users // self.rows_per_shard), 1)
+        return self.shards or max(self.min_shards, -(-users // self.rows_per_shard))
 
     @classmethod
     def from_env(cls, env: Mapping[str, str]) -> RiskParams:
         """Defaults overridden by settings; an unreadable number keeps its default."""
+        # Fixed values below: the names of the settings.
         base = cls()
 
         def get(key: str, cast: Callable[[str], Any], default: Any) -> Any:

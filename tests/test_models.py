@@ -123,12 +123,12 @@ def test_svm_with_fewer_landmarks_than_users(planted, scores):
     assert np.corrcoef(got["svm_score"].rank(), scores["svm_score"].rank())[0, 1] > 0.9
 
 
-@pytest.mark.parametrize("shards", [3, 70])
-def test_sums_over_few_and_many_shards(spark, shards):
+@pytest.mark.parametrize("shards,fan_in", [(3, 64), (70, 64), (70, 4)])
+def test_sums_over_few_and_many_shards(spark, shards, fan_in):
     table = spark.range(500).selectExpr("id AS user_id", "double(id) AS a", "1D AS b")
     data = sharded(table, ["a", "b"], shards)
     total = sum_over_shards(
-        data, shards, lambda blocks: sum((b.sum(axis=0) for b in blocks), np.zeros(2))
+        data, shards, lambda blocks: sum((b.sum(axis=0) for b in blocks), np.zeros(2)), fan_in
     )
     data.unpersist()
     assert total.tolist() == [500 * 499 / 2, 500.0]
@@ -220,3 +220,51 @@ def test_whole_pipeline(spark, planted, tmp_path):
     assert np.allclose(total, scored["risk_score_raw"])
     assert spark.read.parquet(paths["scored_path"]).count() == 120
     assert spark.read.parquet(paths["features_path"]).columns == [*FEATURE_COLS, "user_id", "role"]
+
+
+def one_more(spark, n, which):
+    """Scores of the same n users, fitted on them alone and with one user more."""
+    rng = np.random.default_rng(n)
+    data = rng.standard_t(4, size=(n + 1, len(FEATURE_COLS)))
+    rows = [(i, "r", *map(float, x)) for i, x in enumerate(data)]
+    schema = "user_id long, role string, " + ", ".join(f"{c} double" for c in FEATURE_COLS)
+    out = []
+    for k in (n, n + 1):
+        models, scaled = fit_models(spark.createDataFrame(rows[:k], schema), RiskParams(), which)
+        scores = score_scaled(scaled, models).where(f"user_id < {n}").toPandas()
+        out.append(scores.sort_values("user_id", ignore_index=True))
+    return out
+
+
+@pytest.mark.parametrize("n", [200, 256, 300])
+def test_one_user_more_hardly_moves_the_svm(spark, n):
+    a, b = (s["svm_score"].to_numpy() for s in one_more(spark, n, ("svm",)))
+    # Up to 256 users the solution is exact, so part of the change is the problem's own.
+    assert np.abs(a - b).max() < 0.12 * np.ptp(a)
+    assert np.abs(a - b).mean() < 0.02 * np.ptp(a)
+
+
+def test_one_user_more_hardly_moves_the_autoencoder(spark):
+    a, b = (s["ae_score"].to_numpy() for s in one_more(spark, 200, ("autoencoder",)))
+    assert abs(a.mean() - b.mean()) < 0.05 * a.mean()
+    assert np.corrcoef(a, b)[0, 1] > 0.95
+
+
+@pytest.mark.parametrize("users,shards", [(1, 8), (200, 8), (201, 8), (800_000, 8), (800_001, 9)])
+def test_shards_follow_the_users(users, shards):
+    assert RiskParams().shard_count(users) == shards
+
+
+def test_svm_comes_near_the_exact_solution_with_few_landmarks(spark):
+    rng = np.random.default_rng(11)
+    data = rng.standard_t(6, size=(600, len(FEATURE_COLS)))
+    schema = "user_id long, role string, " + ", ".join(f"{c} double" for c in FEATURE_COLS)
+    table = spark.createDataFrame([(i, "r", *map(float, x)) for i, x in enumerate(data)], schema)
+    errors = []
+    for landmarks in (128, 256, 600):
+        p = dataclasses.replace(RiskParams(), svm=SvmParams(landmarks=landmarks))
+        models, scaled = fit_models(table, p, ("svm",))
+        scores = score_scaled(scaled, models).toPandas().sort_values("user_id", ignore_index=True)
+        want = exact_one_class(matrix(scores), models.svm.gamma, p.svm.nu)
+        errors.append(np.abs(-scores["svm_score"].to_numpy() - want).max() / np.ptp(want))
+    assert errors[2] < 0.01 and errors[2] < errors[1] < errors[0] < 0.5
