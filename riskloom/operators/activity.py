@@ -22,13 +22,15 @@ def is_weekend(day: Column) -> Column:
 def daily_measures() -> list[Column]:
     """Aggregates of one user-day of events; all numeric, so they hash-aggregate."""
     kind, hour = F.col("event_type"), F.hour("ts")
+    # In Spark NaN is above every number; here it is a missing value.
+    large = F.coalesce((F.col("value") > 100) & ~F.isnan("value"), F.lit(False))
     return [
         F.min(hour).alias("login_hour"),
         F.count_if(kind == "view").alias("files_accessed"),
         F.count_if(kind == "error").alias("failed_logins"),
         F.count_if(kind == "purchase").alias("sensitive_files"),
         F.count_if(kind == "click").alias("emails_sent"),
-        F.max((F.col("value") > 100).cast("int")).alias("usb_usage"),
+        F.max(large.cast("int")).alias("usb_usage"),
         F.count_if((hour < 6) | (hour >= 20)).alias("after_hours"),
         F.max((kind == "signup").cast("int")).alias("vpn_connections"),
     ]
@@ -41,7 +43,9 @@ def roles_of(customer: DataFrame) -> DataFrame:
 
 
 def daily_activity(events: DataFrame, roles: DataFrame) -> DataFrame:
-    """Activity log of the users in ``roles`` (``user_id``, ``role``; one row each).
+    """Activity log of all users; ``roles`` (``user_id``, ``role``) has one row each.
+
+    A user that ``roles`` does not know has a NULL role.
 
     Events are aggregated before the join: a user with a huge share of all
     events shrinks to one row per day and map task before anything is shuffled,
@@ -53,7 +57,7 @@ def daily_activity(events: DataFrame, roles: DataFrame) -> DataFrame:
         .agg(*daily_measures())
     )
     return (
-        days.join(roles, "user_id")
+        days.join(roles, "user_id", "left")
         .withColumn("is_weekend", is_weekend(F.col("day")))
         .select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in ACTIVITY_SCHEMA))
     )

@@ -40,6 +40,11 @@ _ADDED = (
 _KEPT_MAX = [f"{s}_max" for s in _MAXIMA]
 
 
+def _exact(whole: str) -> str:
+    """Whole numbers whose products and sums are exact, up to 38 digits."""
+    return f"CAST({whole} AS DECIMAL(19, 0))"
+
+
 def user_stats(activity: DataFrame) -> DataFrame:
     """Mergeable statistics per user.
 
@@ -53,7 +58,7 @@ def user_stats(activity: DataFrame) -> DataFrame:
         value = column if kind is None else f"CASE WHEN is_weekend = {kind} THEN {column} END"
         aggs += [F.expr(f"count({value}) AS {stat}_n"), F.expr(f"sum({value}) AS {stat}_sum")]
     for stat, column in _SQUARED.items():
-        aggs.append(F.expr(f"sum(double({column}) * double({column})) AS {stat}_sq"))
+        aggs.append(F.expr(f"sum({_exact(column)} * {_exact(column)}) AS {stat}_sq"))
     aggs += [F.expr(f"sum({column}) AS {total}") for total, column in _TOTALS.items()]
     aggs += [F.expr(f"bigint(max({column})) AS {stat}_max") for stat, column in _MAXIMA.items()]
     per_role = activity.where("user_id IS NOT NULL").groupBy("user_id", "role").agg(*aggs)
@@ -102,9 +107,9 @@ def _mean(stat: str) -> str:
 
 
 def _sample_std(stat: str) -> str:
-    """NULL for fewer than two values."""
-    spread = f"{stat}_sq - double({stat}_sum) * double({stat}_sum) / {stat}_n"
-    return f"CASE WHEN {stat}_n > 1 THEN sqrt(greatest({spread}, 0D) / ({stat}_n - 1)) END"
+    """NULL for fewer than two values. The difference of squares is taken without rounding."""
+    spread = f"{_exact(stat + '_n')} * {stat}_sq - {_exact(stat + '_sum')} * {_exact(stat + '_sum')}"
+    return f"CASE WHEN {stat}_n > 1 THEN sqrt(double({spread}) / {stat}_n / ({stat}_n - 1)) END"
 
 
 def distinct_days(activity: DataFrame) -> DataFrame:
@@ -166,34 +171,18 @@ def features_from_stats(stats: DataFrame, n_days: Column) -> DataFrame:
     )
 
 
-# Days a bitmap of one aggregate can hold: indexes 0 .. 32766.
-_BITMAP_DAYS = 32_767
-
-
 def stored_stats(activity: DataFrame) -> tuple[DataFrame, int]:
     """User statistics as a staged table, and the number of distinct days.
 
-    The day count is observed while the rows flow into the statistics, so the
-    activity is read and shuffled once. Day indexes beyond the bitmap, or before
-    day 0, are counted by a query of their own.
+    The calendar days are observed while the rows flow into the statistics, so
+    the activity is read and shuffled once.
     """
     days = Observation()
-    bits = F.bitmap_construct_agg(F.bitmap_bit_position(F.col("day") + 1))
-    watched = activity.observe(
-        days,
-        F.min("day").alias("first"),
-        F.max("day").alias("last"),
-        F.bitmap_count(bits).alias("n_days"),
-    )
+    watched = activity.observe(days, F.size(F.collect_set("day")).alias("n_days"))
     stats = stage(user_stats(watched), "user-stats")
     if stats.isEmpty():  # the observation of an empty plan never fires
         return stats, 0
-    seen = days.get
-    if seen["first"] is None:
-        return stats, 0
-    if seen["first"] < 0 or seen["last"] >= _BITMAP_DAYS:
-        return stats, distinct_days(activity).first()["n_days"]
-    return stats, seen["n_days"]
+    return stats, days.get["n_days"]
 
 
 def user_features(activity: DataFrame) -> DataFrame:

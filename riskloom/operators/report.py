@@ -31,7 +31,7 @@ def filter_scored(
 def top_risky(scored: DataFrame, k: int = 10) -> DataFrame:
     """The k riskiest users with their rank; a top-k heap, no full sort."""
     top = ranked(scored).select("user_id", "role", "risk_score", "risk_level").limit(k)
-    order = W.orderBy(F.desc_nulls_last("risk_score"), "user_id")
+    order = W.orderBy(without_nan(F.col("risk_score")).desc_nulls_last(), "user_id")
     return top.withColumn("rank", F.row_number().over(order))
 
 

@@ -41,6 +41,7 @@ from riskloom.params import RiskParams
 from riskloom.schemas import ACTIVITY_SCHEMA, RISK_LEVELS
 from riskloom.sources.tables import delete_path, read_if_exists
 
+# Column names of the batch metadata.
 METADATA_COLS = [
     "batch_num",
     "total_batches",
@@ -159,7 +160,8 @@ class RiskStream:
             .first()
         )
         snapshots = [i for i in (previous["snapshots"] if previous else []) if i != batch_id]
-        stale, kept = snapshots[: -self.keep], snapshots[-self.keep :]
+        first_kept = max(len(snapshots) - self.keep, 0)
+        stale, kept = snapshots[:first_kept], snapshots[first_kept:]
         row = {
             "batch_num": (previous["batch_num"] if previous else 0) + 1,
             "total_batches": self.total_batches,

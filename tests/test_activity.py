@@ -12,9 +12,10 @@ def test_events_roll_up_to_user_days(spark):
         (1, datetime(2024, 1, 1, 9), "view", 1.0),
         (1, datetime(2024, 1, 1, 21), "view", 200.0),
         (1, datetime(2024, 1, 1, 5), "error", 1.0),
+        (2, datetime(2024, 1, 2, 13), "view", float("nan")),  # missing, not large
         (1, datetime(2024, 1, 6, 12), "signup", 1.0),
         (2, datetime(2024, 1, 2, 12), "purchase", 1.0),
-        (3, datetime(2024, 1, 2, 12), "click", 1.0),  # not a known user
+        (3, datetime(2024, 1, 2, 12), "click", 1.0),  # no role
         (None, datetime(2024, 1, 2, 12), "click", 1.0),
         (1, None, "click", 1.0),
     ]
@@ -28,7 +29,8 @@ def test_events_roll_up_to_user_days(spark):
     assert sorted(tuple(r) for r in got.collect()) == [
         (1, "A", 0, 0, 5, 2, 1, 0, 0, 1, 2, 0),
         (1, "A", 5, 1, 12, 0, 0, 0, 0, 0, 0, 1),
-        (2, "B", 1, 0, 12, 0, 0, 1, 0, 0, 0, 0),
+        (2, "B", 1, 0, 12, 1, 0, 1, 0, 0, 0, 0),
+        (3, None, 1, 0, 12, 0, 0, 0, 1, 0, 0, 0),
     ]
 
 

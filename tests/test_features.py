@@ -112,3 +112,14 @@ def test_day_count(activity_of, days):
 def test_empty_log(activity_of):
     log = activity_of([{"user_id": 1}]).where("day > 5")
     assert features.user_features(log).count() == 0
+
+
+def test_std_of_large_counts(activity_of):
+    rows = [{"user_id": 1, "day": d, "files_accessed": 10**9 + d % 2} for d in range(4)]
+    row = features.user_features(activity_of(rows)).first()
+    assert row["files_std"] == pytest.approx(0.5773502691896258)
+
+
+def test_days_of_any_number_are_counted(activity_of):
+    rows = [{"user_id": 1, "day": d} for d in (-3, 0, 40_000, 40_000)]
+    assert features.stored_stats(activity_of(rows))[1] == 3

@@ -118,3 +118,10 @@ def test_parameters_from_settings():
     assert (p.seed, p.forest.trees, p.svm.gamma, p.weights.ae_score) == (7, 200, 0.5, 0.2)
     assert RiskParams.from_env({}) == RiskParams()
     assert math.isclose(sum(w for _, w in RiskWeights().items()), 1.0)
+
+
+def test_unknown_scores_rank_last_in_the_top_list(spark):
+    rows = [(1, "a", float("nan"), "Low"), (2, "a", 90.0, "Critical"), (3, "a", 10.0, "Low"), (4, "a", None, "Low")]
+    scored = spark.createDataFrame(rows, "user_id long, role string, risk_score double, risk_level string")
+    top = {r["rank"]: r["user_id"] for r in report.top_risky(scored).collect()}
+    assert top == {1: 2, 2: 3, 3: 1, 4: 4}
