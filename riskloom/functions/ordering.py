@@ -40,7 +40,6 @@ def before_each(
     order: str,
     columns: dict[str, str],
     group: str | None = None,
-    last: int | None = None,
     chunk: int = CHUNK,
 ) -> DataFrame:
     """Aggregates over all rows before each row, by a 1-based dense integer ``order``.
@@ -49,13 +48,9 @@ def before_each(
     ``pre_<column>``, NULL where nothing comes before. Chunks of consecutive
     rows run in parallel; a second window over one row per chunk carries their
     totals on. With ``group`` the aggregates restart for each of its values.
-    A table known to end (``last``) within one chunk needs no second window.
     """
     fold = {"sum": F.sum, "min": F.min, "max": F.max}
     keys = [group] if group else []
-    if last is not None and last <= chunk:
-        whole = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-        return df.withColumns({f"pre_{c}": fold[k](c).over(whole) for c, k in columns.items()})
     df = df.withColumn("_chunk", F.floor((F.col(order) - 1) / chunk))
     inside = W.partitionBy("_chunk", *keys).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
     local = df.withColumns({f"pre_{c}": fold[kind](c).over(inside) for c, kind in columns.items()})
@@ -89,6 +84,8 @@ def exact_quantile(df: DataFrame, column: str, q: float, bins: int = 4096) -> fl
     total, low, high = x.agg(F.count("x"), F.min("x"), F.max("x")).first()
     if not total:
         raise ValueError(f"no values in column {column}")
+    if not math.isfinite(low) or not math.isfinite(high):
+        raise ValueError(f"infinite values in column {column}")
     position = (total - 1) * q
     lower_rank, part = math.floor(position), position - math.floor(position)
     lower = _order_statistics(x, lower_rank, low, high, bins, total)

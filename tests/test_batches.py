@@ -53,3 +53,12 @@ def test_latest_and_progress(spark):
     assert small[1]["progress"] == 1.0
     stamped = meta.selectExpr("*", "TIMESTAMP'2024-05-01 11:04:33' AS timestamp")
     assert batches.batch_progress(stamped, 10).first()["updated_at"] == "11:04:33"
+
+
+def test_one_plan_for_any_number_of_range_changes(spark):
+    def scans(raw):
+        table = spark.createDataFrame(list(enumerate(raw)), "user_id long, risk_score_raw double")
+        plan = batches.batch_metadata(table, 2, P)._jdf.queryExecution().executedPlan().toString()
+        return plan.count("FileScan")
+
+    assert scans([float(i) for i in range(60)]) == scans([1.0] * 60)

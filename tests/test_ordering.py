@@ -50,3 +50,9 @@ def test_quantile_skips_unknown_values(spark):
     assert exact_quantile(df, "v", 0.5) == 2.0
     with pytest.raises(ValueError):
         exact_quantile(df.where("v > 5"), "v", 0.5)
+
+
+def test_quantile_rejects_infinite_values(spark):
+    df = spark.createDataFrame([(1.0,), (float("inf"),)], "v double")
+    with pytest.raises(ValueError, match="infinite"):
+        exact_quantile(df, "v", 0.5)
