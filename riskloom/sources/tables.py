@@ -53,18 +53,18 @@ def write_table(df: DataFrame, path: str) -> None:
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
-    fs, target = _hadoop(spark, path)
+    fs, target = hadoop_path(spark, path)
     fs.delete(target, True)
 
 
 def read_if_exists(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
-    fs, target = _hadoop(spark, path)
+    fs, target = hadoop_path(spark, path)
     if not fs.exists(target):
         return None
     return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
 
 
-def _hadoop(spark: SparkSession, path: str) -> tuple:
+def hadoop_path(spark: SparkSession, path: str) -> tuple:
     """File system and path object of a location, whatever its scheme."""
     context = spark.sparkContext
     target = context._jvm.org.apache.hadoop.fs.Path(path)

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming.query import StreamingQuery
 
 from riskloom.operators.activity import daily_measures, day_index, is_weekend
 from riskloom.schemas import ACTIVITY_SCHEMA
 
 
 def daily_activity_stream(events: DataFrame, roles: DataFrame, late: str = "1 day") -> DataFrame:
-    """Append-mode activity rows; a day is emitted once the watermark passes its end.
+    """Activity rows of a stream of events.
 
-    Events later than ``late`` behind the newest one are dropped.
+    In append mode a day is emitted once, when the watermark passes its end; in update
+    mode it is emitted again whenever it changes, also while it is open. Events later
+    than ``late`` behind the newest one are dropped.
     """
     days = (
         events.withColumn("ts", F.col("ts").cast("timestamp"))
@@ -23,7 +27,40 @@ def daily_activity_stream(events: DataFrame, roles: DataFrame, late: str = "1 da
     )
     return (
         days.withColumn("day", day_index(F.col("window.start")))
-        .join(roles, "user_id")
+        .join(roles, "user_id", "left")
         .withColumn("is_weekend", is_weekend(F.col("day")))
         .select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in ACTIVITY_SCHEMA))
     )
+
+
+def start_roll_up(
+    events: DataFrame, roles: DataFrame, folder: str, late: str = "1 day"
+) -> StreamingQuery:
+    """Keep the newest state of every user-day below ``folder``, open days included.
+
+    Each micro-batch writes the user-days it changed to a folder of its own, so a
+    replayed batch overwrites itself. Runs until the source has no more data.
+    """
+    days = daily_activity_stream(events, roles, late)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/days/batch_id={batch_id}")
+
+    return (
+        days.writeStream.outputMode("update")
+        .foreachBatch(write)
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def rolled_up(spark: SparkSession, folder: str) -> DataFrame:
+    """The activity log that :func:`start_roll_up` has written so far."""
+    schema = T.StructType([*ACTIVITY_SCHEMA, T.StructField("batch_id", T.LongType())])
+    rows = spark.read.schema(schema).parquet(f"{folder}/days")
+    rest = [f.name for f in ACTIVITY_SCHEMA if f.name not in ("user_id", "day")]
+    newest = rows.groupBy("user_id", "day").agg(
+        F.max_by(F.struct(*rest), "batch_id").alias("newest")
+    )
+    return newest.select("user_id", "day", "newest.*").select(*(f.name for f in ACTIVITY_SCHEMA))

@@ -1,3 +1,7 @@
+import subprocess
+import sys
+import time
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -28,3 +32,27 @@ def test_staged_table_keeps_rows_and_schema(spark):
     staged = staging.stage(table, "t")
     assert staged.schema.simpleString() == table.schema.simpleString()
     assert sorted(r["id"] for r in staged.collect()) == list(range(10))
+
+
+def test_staged_tables_go_with_the_session(tmp_path):
+    script = f"""
+import os
+from pyspark.sql import SparkSession
+from riskloom.sources.staging import release, stage
+own = lambda: [f for f in os.listdir({str(tmp_path)!r}) if f.startswith("riskloom-")]
+s = (SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false")
+     .config("spark.checkpoint.dir", {str(tmp_path)!r}).getOrCreate())
+stage(s.range(3), "a")
+assert len(own()) == 1
+release(s)
+assert not own()
+stage(s.range(3), "b")
+assert len(own()) == 1
+"""
+    root = Path(staging.__file__).resolve().parents[2]
+    subprocess.run([sys.executable, "-c", script], check=True, cwd=root, capture_output=True)
+    for _ in range(50):  # the JVM ends a moment after the driver
+        if not list(tmp_path.glob("riskloom-*")):
+            return
+        time.sleep(0.2)
+    raise AssertionError("staged tables were left behind")

@@ -2,12 +2,14 @@ import dataclasses
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from riskloom.models.ensemble import fit_models
+from riskloom.operators.activity import daily_activity
 from riskloom.operators.features import user_features
 from riskloom.params import AutoencoderParams, ForestParams, RiskParams
 from riskloom.plans.pipeline import rules_only_scored, score_requests
-from riskloom.streaming.daily import daily_activity_stream
+from riskloom.streaming.daily import daily_activity_stream, rolled_up, start_roll_up
 from riskloom.streaming.job import METADATA_COLS, RiskStream, replay_source
 
 P = RiskParams()
@@ -86,6 +88,13 @@ def test_old_snapshots_go(spark, planted, tmp_path):
     assert job.metadata().count() == 4
 
 
+def test_no_old_snapshot_is_kept_if_none_is_wanted(spark, planted, tmp_path):
+    job = RiskStream(spark, str(tmp_path / "out"), P, keep=0)
+    for i in range(3):
+        job.process(planted.where(f"user_id % 3 = {i}"), i)
+    assert [p.name for p in (tmp_path / "out" / "raw").iterdir()] == ["batch_id=2"]
+
+
 def test_stream_with_models_equals_scoring_everyone(spark, planted, parts, tmp_path):
     small = dataclasses.replace(
         P, forest=ForestParams(trees=30), autoencoder=AutoencoderParams(max_epochs=40)
@@ -123,4 +132,12 @@ def test_daily_roll_up_of_a_stream(spark, tmp_path):
     got = spark.read.schema(days.schema).parquet(str(tmp_path / "out")).collect()
     # 295 hours of events; days that ended before the watermark (one day back) are out.
     assert {r["day"] for r in got} == set(range(11))
-    assert {r["role"] for r in got} == {"A", "B"}
+    assert {r["role"] for r in got} == {"A", "B", None}
+
+    start_roll_up(source, roles, str(tmp_path / "all")).awaitTermination()
+    events.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))  # some days grow
+    start_roll_up(source, roles, str(tmp_path / "all")).awaitTermination()
+    whole = daily_activity(events.withColumn("ts", F.col("ts").cast("timestamp")), roles)
+    rolled = {(r["user_id"], r["day"]): r for r in rolled_up(spark, str(tmp_path / "all")).collect()}
+    assert rolled.keys() == {(r["user_id"], r["day"]) for r in whole.collect()}
+    assert rolled[0, 12]["files_accessed"] > whole.where("user_id = 0 and day = 12").first()["files_accessed"]
