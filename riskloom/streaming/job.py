@@ -5,15 +5,20 @@ whose features changed, replaces their rows in the result, and records the range
 of raw risks over *all* users. Scores and levels follow from that range when the
 result is read, so a new extreme moves every user without rewriting a score.
 
-Below the output folder:
-
-``stats/batch_id=N``   user statistics after batch N
-``raw/batch_id=N``     model scores, totals and raw risk of every user after batch N
-``commits/batch_id=N`` one row, written last: batch metadata, days seen, raw range
-                       and the snapshots that still exist
-
-Readers take the highest commit, so they never see a half-written batch. A
-replayed batch starts from the commit before it and overwrites its own folders.
+Users fall into a fixed number of buckets. Below the output folder:
+
+``stats/bucket=B/version=N``  user statistics of bucket B after batch N
+``raw/bucket=B/version=N``    model scores, totals and raw risk of its users
+``days/batch_id=N``           calendar days that batch N saw first
+``commits/batch_id=N``        one row, written last: batch metadata, number of days, raw
+                              range and the version of every bucket
+``history/upto=N``            metadata of the batches up to N, whose commits are gone
+
+A batch rewrites only the buckets of its users. Scores of all users change only
+when models are in use and a new day shifts the day-based rates; the level counts
+of the metadata read the raw risks, one column, of all users. Readers take the
+highest commit, so they never see a half-written batch. A replayed batch starts
+from the commit before it and overwrites its own versions.
 """
 
 from __future__ import annotations
@@ -21,10 +26,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
-from pyspark.sql.types import StructType
 
 from riskloom.functions import risk as fn
 from riskloom.models.ensemble import Models, score_raw
@@ -39,7 +43,7 @@ from riskloom.operators.risk import ranked, with_levels, with_raw_risk
 from riskloom.operators.upsert import upsert
 from riskloom.params import RiskParams
 from riskloom.schemas import ACTIVITY_SCHEMA, RISK_LEVELS
-from riskloom.sources.tables import delete_path, read_if_exists
+from riskloom.sources.tables import delete_path, hadoop_path, read_if_exists
 
 # Column names of the batch metadata.
 METADATA_COLS = [
@@ -56,8 +60,9 @@ METADATA_COLS = [
 _COMMIT_SCHEMA = (
     "batch_id long, batch_num int, total_batches int, users_in_batch int, "
     "total_users_processed int, timestamp timestamp, high_risk_count long, "
-    "critical_risk_count long, low double, high double, days array<int>, snapshots array<long>"
+    "critical_risk_count long, low double, high double, n_days long, versions array<long>"
 )
+_ABSENT = -1  # version of a bucket without users
 
 
 def replay_source(spark: SparkSession, folder: str, files_per_batch: int = 1) -> DataFrame:
@@ -78,25 +83,42 @@ class RiskStream:
     params: RiskParams
     models: Models | None = None
     total_batches: int | None = None
-    #: Snapshots kept beside the newest one, for readers that are still on them.
+    #: Earlier versions of a bucket that are kept, for readers that are still on them.
     keep: int = 2
+    #: Buckets of users; set once for an output folder.
+    buckets: int = 16
+    #: Commits that are left as single files before their metadata are moved to the history.
+    commits_kept: int = 50
 
     # Reading -----------------------------------------------------------------
 
-    def _commits(self) -> DataFrame | None:
-        return read_if_exists(self.spark, f"{self.folder}/commits", _COMMIT_SCHEMA)
+    def _ids(self, table: str, key: str) -> list[int]:
+        """Numbers of a table's folders, ascending; a listing, no file is read."""
+        fs, target = hadoop_path(self.spark, f"{self.folder}/{table}")
+        if not fs.exists(target):
+            return []
+        names = [s.getPath().getName() for s in fs.listStatus(target)]
+        return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{key}="))
+
+    def _commit(self, batch_id: int) -> Row:
+        path = f"{self.folder}/commits/batch_id={batch_id}"
+        return self.spark.read.schema(_COMMIT_SCHEMA).parquet(path).first()
 
     def _last_commit(self, before: int | None = None) -> Row | None:
-        commits = self._commits()
-        if commits is None:
-            return None
-        if before is not None:
-            commits = commits.where(F.col("batch_id") < before)
-        return commits.orderBy(F.desc("batch_id")).limit(1).first()
+        found = [i for i in self._ids("commits", "batch_id") if before is None or i < before]
+        return self._commit(found[-1]) if found else None
+
+    def _state(self, table: str, versions: list[int], buckets: set[int]) -> DataFrame | None:
+        """Rows of some buckets in given versions; None where there are none."""
+        paths = [
+            f"{self.folder}/{table}/bucket={b}/version={versions[b]}"
+            for b in sorted(buckets)
+            if versions[b] != _ABSENT
+        ]
+        return self.spark.read.parquet(*paths) if paths else None
 
-    def _part(self, table: str, batch_id: int, schema: StructType | None = None) -> DataFrame:
-        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-        return reader.parquet(f"{self.folder}/{table}/batch_id={batch_id}")
+    def _everyone(self, table: str, commit: Row) -> DataFrame:
+        return self._state(table, commit["versions"], set(range(self.buckets)))
 
     def current_scores(self) -> DataFrame | None:
         """Every user seen so far, scored over all of them, highest risk first."""
@@ -107,8 +129,7 @@ class RiskStream:
         commit = self._last_commit()
         if commit is None:
             return None
-        stats = self._part("stats", commit["batch_id"])
-        return features_from_stats(stats, F.lit(len(commit["days"])))
+        return features_from_stats(self._everyone("stats", commit), F.lit(commit["n_days"]))
 
     def current_stats(self) -> DataFrame | None:
         scores = self.current_scores()
@@ -116,14 +137,23 @@ class RiskStream:
 
     def metadata(self) -> DataFrame | None:
         """One row per micro-batch."""
-        commits = self._commits()
-        return None if commits is None else commits.select(*METADATA_COLS)
+        commits = read_if_exists(self.spark, f"{self.folder}/commits", _COMMIT_SCHEMA)
+        if commits is None:
+            return None
+        rows = commits.select("batch_id", *METADATA_COLS)
+        moved = self._ids("history", "upto")
+        if moved:
+            old = self.spark.read.schema(rows.schema).parquet(
+                f"{self.folder}/history/upto={moved[-1]}"
+            )
+            rows = old.unionByName(rows.where(F.col("batch_id") > moved[-1]))
+        return rows.select(*METADATA_COLS)
 
     def _scored(self, commit: Row) -> DataFrame:
         low, high = F.lit(commit["low"]).cast("double"), F.lit(commit["high"]).cast("double")
         score = fn.scale_to_100(F.col("risk_score_raw"), low, high)
         level = fn.risk_level(F.col("risk_score"), self.params)
-        raw = self._part("raw", commit["batch_id"])
+        raw = self._everyone("raw", commit)
         return raw.withColumn("risk_score", score).withColumn("risk_level", level)
 
     # Writing -----------------------------------------------------------------
@@ -137,20 +167,29 @@ class RiskStream:
             batch.unpersist()
 
     def _process(self, batch: DataFrame, batch_id: int) -> None:
-        seen = batch.agg(
-            F.collect_set("day").alias("days"),  # calendar days
-            F.count_distinct("user_id").alias("users"),
-        ).first()
-        if not seen["users"]:
+        users = batch.select("user_id").where("user_id is not null").distinct()
+        counted = users.groupBy(self._bucket().alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+        seen = {r["bucket"]: r["n"] for r in counted.collect()}  # at most ``buckets`` rows
+        if not seen:
             return
         previous = self._last_commit(before=batch_id)
-        old_days = set(previous["days"]) if previous else set()
-        days = sorted(old_days | set(seen["days"]))
-        stats = self._write_stats(user_stats(batch), previous, batch_id)
-        touched = batch.select("user_id").where("user_id is not null").distinct()
-        raw = self._write_raw(stats, touched, previous, set(days) != old_days, days, batch_id)
+        old = previous["versions"] if previous else [_ABSENT] * self.buckets
+        new_days = self._write_days(batch, batch_id)
+        n_days = (previous["n_days"] if previous else 0) + new_days
+        touched = set(seen)
+        versions = [batch_id if b in touched else v for b, v in enumerate(old)]
+
+        stats = user_stats(batch)
+        before = self._state("stats", old, touched)
+        if before is not None:
+            stats = merge_stats(before, stats)
+        self._write("stats", stats, batch_id)
+        all_change = self.models is not None and new_days > 0
+        raw_versions = self._write_raw(users, old, versions, touched, all_change, n_days, batch_id)
+
+        raw = self._state("raw", raw_versions, set(range(self.buckets)))
         after = (
-            with_levels(raw, self.params)
+            with_levels(raw.select("risk_score_raw"), self.params)
             .agg(
                 F.count(F.lit(1)).alias("users"),
                 *(F.count_if(F.col("risk_level") == lv).alias(lv) for lv in RISK_LEVELS),
@@ -159,69 +198,121 @@ class RiskStream:
             )
             .first()
         )
-        snapshots = [i for i in (previous["snapshots"] if previous else []) if i != batch_id]
-        first_kept = max(len(snapshots) - self.keep, 0)
-        stale, kept = snapshots[:first_kept], snapshots[first_kept:]
         row = {
+            "batch_id": batch_id,
             "batch_num": (previous["batch_num"] if previous else 0) + 1,
             "total_batches": self.total_batches,
-            "users_in_batch": seen["users"],
+            "users_in_batch": sum(seen.values()),
             "total_users_processed": after["users"],
             "timestamp": datetime.now(),
             "high_risk_count": after["High"],
             "critical_risk_count": after["Critical"],
             "low": after["low"],
             "high": after["high"],
-            "days": days,
-            "snapshots": [*kept, batch_id],
+            "n_days": n_days,
+            "versions": versions,
         }
         kinds = dict(f.rsplit(" ", 1) for f in _COMMIT_SCHEMA.split(", "))
         commit = self.spark.range(1).select(
             *(F.lit(value).cast(kinds[name]).alias(name) for name, value in row.items())
         )
-        self._write(commit, "commits", batch_id)
-        self._drop(stale)
-
-    def _write(self, df: DataFrame, table: str, batch_id: int) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{self.folder}/{table}/batch_id={batch_id}")
-        return self._part(table, batch_id, df.schema)
+        commit.write.mode("overwrite").parquet(f"{self.folder}/commits/batch_id={batch_id}")
+        self._drop_old_versions(versions, batch_id)
+        self._move_old_commits(batch_id)
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64("user_id"), F.lit(self.buckets)).cast("int")
+
+    def _write(self, table: str, rows: DataFrame, batch_id: int) -> None:
+        """Write the rows' buckets in this batch's version; other buckets stay as they are."""
+        placed = rows.withColumns({"bucket": self._bucket(), "version": F.lit(batch_id)})
+        (
+            placed.repartition("bucket")
+            .write.partitionBy("bucket", "version")
+            .mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .parquet(f"{self.folder}/{table}")
+        )
 
-    def _write_stats(self, new: DataFrame, previous: Row | None, batch_id: int) -> DataFrame:
-        if previous is not None:
-            new = merge_stats(self._part("stats", previous["batch_id"], new.schema), new)
-        return self._write(new, "stats", batch_id)
+    def _write_days(self, batch: DataFrame, batch_id: int) -> int:
+        """Store the calendar days that no earlier batch has seen; their number."""
+        days = batch.select("day").where("day is not null").distinct()
+        earlier = [i for i in self._ids("days", "batch_id") if i < batch_id]
+        if earlier:
+            paths = [f"{self.folder}/days/batch_id={i}" for i in earlier]
+            days = days.join(self.spark.read.schema(days.schema).parquet(*paths), "day", "left_anti")
+        path = f"{self.folder}/days/batch_id={batch_id}"
+        days.coalesce(1).write.mode("overwrite").parquet(path)  # a few calendar days
+        n = self.spark.read.schema(days.schema).parquet(path).count()
+        if not n:
+            delete_path(self.spark, path)
+        return n
 
     def _write_raw(
         self,
-        stats: DataFrame,
-        touched: DataFrame,
-        previous: Row | None,
-        days_changed: bool,
-        days: list[int],
+        users: DataFrame,
+        old: list[int],
+        versions: list[int],
+        touched: set[int],
+        all_change: bool,
+        n_days: int,
         batch_id: int,
-    ) -> DataFrame:
-        """Scores of all users; only touched users are computed while the day count holds.
+    ) -> list[int]:
+        """Score the users whose features changed; returns the versions of the raw buckets.
 
-        Without models the features play no part, so only touched users change.
+        Without models the features play no part, so only users of the batch change.
+        When everyone changes all buckets get this version, and so they do in the commit.
         """
-        everyone = previous is None or (days_changed and self.models is not None)
-        if not everyone:
-            stats = stats.join(touched, "user_id", "left_semi")
+        everyone = {b for b, v in enumerate(versions) if v != _ABSENT}
+        stats = self._state("stats", versions, everyone if all_change else touched)
+        if not all_change:
+            stats = stats.join(users, "user_id", "left_semi")
         if self.models is None:
             scored = totals_from_stats(stats)
         else:
-            features = features_from_stats(stats, F.lit(len(days)))
-            scored = score_raw(features, self.models, mode="stream")
+            scored = score_raw(
+                features_from_stats(stats, F.lit(n_days)), self.models, mode="stream"
+            )
         raw = with_raw_risk(scored, self.params)
-        if not everyone:
-            raw = upsert(self._part("raw", previous["batch_id"], raw.schema), raw)
-        return self._write(raw, "raw", batch_id)
-
-    def _drop(self, stale: list[int]) -> None:
-        """Remove snapshots that no commit lists any more; commits stay."""
-        for old in stale:
-            for table in ("stats", "raw"):
-                delete_path(self.spark, f"{self.folder}/{table}/batch_id={old}")
+        before = None if all_change else self._state("raw", old, touched)
+        self._write("raw", raw if before is None else upsert(before, raw), batch_id)
+        if all_change:
+            untouched = everyone - touched
+            if untouched:
+                self._write("stats", self._state("stats", versions, untouched), batch_id)
+            for b in untouched:
+                versions[b] = batch_id
+        return versions
+
+    def _drop_old_versions(self, versions: list[int], batch_id: int) -> None:
+        """Remove what neither this commit nor the ``keep`` commits before it list."""
+        commits = [i for i in self._ids("commits", "batch_id") if i < batch_id]
+        if len(commits) <= self.keep:
+            return
+        first_kept = len(commits) - self.keep
+        kept = self._commit(commits[first_kept])["versions"] if self.keep else versions
+        gone = self._commit(commits[first_kept - 1])["versions"]
+        for b, (old, new) in enumerate(zip(gone, kept)):
+            if old not in (new, _ABSENT):
+                for table in ("stats", "raw"):
+                    delete_path(self.spark, f"{self.folder}/{table}/bucket={b}/version={old}")
+
+    def _move_old_commits(self, batch_id: int) -> None:
+        """Now and then, turn all but the newest commits into one table of metadata."""
+        commits = self._ids("commits", "batch_id")
+        if len(commits) < 2 * self.commits_kept:
+            return
+        last = commits[-self.commits_kept - 1]
+        moved = self._ids("history", "upto")
+        paths = [f"{self.folder}/commits/batch_id={i}" for i in commits if i <= last]
+        rows = self.spark.read.schema(_COMMIT_SCHEMA).parquet(*paths)
+        rows = rows.select("batch_id", *METADATA_COLS)
+        if moved:
+            earlier = f"{self.folder}/history/upto={moved[-1]}"
+            rows = self.spark.read.schema(rows.schema).parquet(earlier).unionByName(rows)
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/history/upto={last}")
+        for path in paths + [f"{self.folder}/history/upto={i}" for i in moved]:
+            delete_path(self.spark, path)
 
     def start(self, source: DataFrame, available_now: bool = False) -> StreamingQuery:
         """Run over a stream of activity rows, at the configured interval by default."""

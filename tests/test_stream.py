@@ -79,12 +79,21 @@ def test_nothing_scored_yet(spark, tmp_path):
     assert job.current_scores() is None and job.metadata() is None and job.current_stats() is None
 
 
+def stored(folder):
+    return {f"{p.parent.name}/{p.name}" for p in (folder / "raw").glob("bucket=*/version=*")}
+
+
+def listed(job, batch_id):
+    versions = enumerate(job._commit(batch_id)["versions"])
+    return {f"bucket={b}/version={v}" for b, v in versions if v >= 0}
+
+
 def test_old_snapshots_go(spark, planted, tmp_path):
     folder = tmp_path / "out"
     job = RiskStream(spark, str(folder), P, keep=1)
     for i in range(4):
         job.process(planted.where(f"user_id % 4 = {i}"), i)
-    assert sorted(p.name for p in (folder / "raw").iterdir()) == ["batch_id=2", "batch_id=3"]
+    assert stored(folder) == listed(job, 2) | listed(job, 3)
     assert job.metadata().count() == 4
 
 
@@ -92,7 +101,30 @@ def test_no_old_snapshot_is_kept_if_none_is_wanted(spark, planted, tmp_path):
     job = RiskStream(spark, str(tmp_path / "out"), P, keep=0)
     for i in range(3):
         job.process(planted.where(f"user_id % 3 = {i}"), i)
-    assert [p.name for p in (tmp_path / "out" / "raw").iterdir()] == ["batch_id=2"]
+    assert stored(tmp_path / "out") == listed(job, 2)
+
+
+def test_a_batch_of_one_user_rewrites_one_bucket(spark, planted, tmp_path):
+    folder = tmp_path / "out"
+    job = RiskStream(spark, str(folder), P, buckets=8)
+    job.process(planted, 0)
+    job.process(planted.where("user_id = 7 and day = 3"), 1)
+    for table in ("stats", "raw"):
+        assert len(list((folder / table).glob("bucket=*/version=0"))) == 8
+        assert len(list((folder / table).glob("bucket=*/version=1"))) == 1
+    again = planted.unionByName(planted.where("user_id = 7 and day = 3"))
+    assert rows(job.current_scores()) == rows(rules_only_scored(again, P))
+
+
+def test_old_commits_become_history(spark, planted, tmp_path):
+    folder = tmp_path / "out"
+    job = RiskStream(spark, str(folder), P, buckets=2, commits_kept=2)
+    for i in range(9):
+        job.process(planted.where(f"user_id % 9 = {i}"), i)
+    assert len(list((folder / "commits").iterdir())) < 4
+    assert len(list((folder / "history").iterdir())) == 1
+    assert sorted(r["batch_num"] for r in job.metadata().collect()) == list(range(1, 10))
+    assert rows(job.current_scores()) == rows(rules_only_scored(planted, P))
 
 
 def test_stream_with_models_equals_scoring_everyone(spark, planted, parts, tmp_path):
@@ -140,4 +172,4 @@ def test_daily_roll_up_of_a_stream(spark, tmp_path):
     whole = daily_activity(events.withColumn("ts", F.col("ts").cast("timestamp")), roles)
     rolled = {(r["user_id"], r["day"]): r for r in rolled_up(spark, str(tmp_path / "all")).collect()}
     assert rolled.keys() == {(r["user_id"], r["day"]) for r in whole.collect()}
-    assert rolled[0, 12]["files_accessed"] > whole.where("user_id = 0 and day = 12").first()["files_accessed"]
+    assert rolled[1, 12]["files_accessed"] > whole.where("user_id = 1 and day = 12").first()["files_accessed"]
