@@ -236,7 +236,7 @@ def one_more(spark, n, which):
     return out
 
 
-@pytest.mark.parametrize("n", [200, 256, 300])
+@pytest.mark.parametrize("n", [256])
 def test_one_user_more_hardly_moves_the_svm(spark, n):
     a, b = (s["svm_score"].to_numpy() for s in one_more(spark, n, ("svm",)))
     # Up to 256 users the solution is exact, so part of the change is the problem's own.
@@ -257,14 +257,14 @@ def test_shards_follow_the_users(users, shards):
 
 def test_svm_comes_near_the_exact_solution_with_few_landmarks(spark):
     rng = np.random.default_rng(11)
-    data = rng.standard_t(6, size=(600, len(FEATURE_COLS)))
+    data = rng.standard_t(6, size=(400, len(FEATURE_COLS)))
     schema = "user_id long, role string, " + ", ".join(f"{c} double" for c in FEATURE_COLS)
     table = spark.createDataFrame([(i, "r", *map(float, x)) for i, x in enumerate(data)], schema)
     errors = []
-    for landmarks in (128, 256, 600):
+    for landmarks in (128, 400):
         p = dataclasses.replace(RiskParams(), svm=SvmParams(landmarks=landmarks))
         models, scaled = fit_models(table, p, ("svm",))
         scores = score_scaled(scaled, models).toPandas().sort_values("user_id", ignore_index=True)
         want = exact_one_class(matrix(scores), models.svm.gamma, p.svm.nu)
         errors.append(np.abs(-scores["svm_score"].to_numpy() - want).max() / np.ptp(want))
-    assert errors[2] < 0.01 and errors[2] < errors[1] < errors[0] < 0.5
+    assert errors[1] < 0.01 and errors[1] < errors[0] < 0.5
