@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,12 +22,14 @@ class JaccardRule:
 
     ``spare`` tiles beyond the least number make shared empty tiles needless for
     nearly every set; ``growth`` is the ratio of a band's largest to smallest size.
+    ``brief_bits`` is the most bits of the bitmap that travels with every tile.
     """
 
     words: int = 3
     percent: int = 90
     growth: float = 1.5
     spare: int = 2
+    brief_bits: int = 1024
     small_rows: int = 1_000_000
 
     def most_different(self, sizes: int) -> int:
@@ -91,29 +93,44 @@ def tile_keys(hashes: np.ndarray, rule: JaccardRule, edges: list[int]) -> np.nda
     return np.concatenate(keys).view(np.int64)
 
 
-def bitmap(hashes: np.ndarray) -> np.ndarray:
-    """A bit per element in a bitmap of about twice as many bits, at least 64."""
-    n = max(64, 1 << int(2 * len(hashes)).bit_length())
+def bitmap(hashes: np.ndarray, most: int = 1 << 30) -> np.ndarray:
+    """A bit per element in a bitmap of four to eight times as many bits, 64 .. ``most``."""
+    n = min(max(64, 1 << int(4 * len(hashes)).bit_length()), most)
     spots = (hashes & np.uint64(n - 1)).astype(np.int64)
     bits = np.zeros(n, np.uint8)
     bits[spots] = 1
     return np.packbits(bits, bitorder="little").view(np.int64)
 
 
-def _signatures(rule: JaccardRule):
-    edges = rule.bands()
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(arrays)))
+
 
-    def build(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for sets in batches:
-            arrays = [np.asarray(s, dtype=np.int64).view(np.uint64) for s in sets]
-            yield pd.DataFrame(
-                {
-                    "bits": [bitmap(a) for a in arrays],
-                    "tiles": [tile_keys(a, rule, edges) for a in arrays],
-                }
+def _signed(sets: DataFrame, rule: JaccardRule) -> DataFrame:
+    """Replace the last column, ``set``, by ``bits``, ``brief`` and ``tiles``."""
+    edges = rule.bands()
+    names = sets.columns[:-1]
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            column = batch.column(len(names))
+            ends = column.offsets.to_numpy()
+            hashes = column.values.to_numpy().view(np.uint64)
+            each = [hashes[a:b] for a, b in zip(ends, ends[1:])]
+            bits = _lists([bitmap(x) for x in each])
+            brief = _lists([bitmap(x, rule.brief_bits) for x in each])
+            tiles = _lists([tile_keys(x, rule, edges) for x in each])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], bits, brief, tiles],
+                names=[*names, "bits", "brief", "tiles"],
             )
 
-    return F.pandas_udf(build, "bits array<long>, tiles array<long>")
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in sets.schema.fields[:-1])
+    arrays = ", ".join(f"{c} array<long>" for c in ("bits", "brief", "tiles"))
+    return sets.mapInArrow(build, f"{kept}, {arrays}")
 
 
 def _folded(bits: Column, words: Column) -> Column:
@@ -130,22 +147,22 @@ def _folded(bits: Column, words: Column) -> Column:
     return let(let(bits, halved), halved)
 
 
-def _only_left(left: Column, right: Column) -> Column:
-    lone = F.zip_with(left, right, lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y))))
-    return F.aggregate(lone, F.lit(0), lambda acc, n: acc + n)
+def _sizes_fit(rule: JaccardRule) -> Column:
+    return 100 * F.least("n", "n2") >= rule.percent * F.greatest("n", "n2")
 
 
-def _may_link(rule: JaccardRule) -> Column:
-    """Sizes and bit counts leave room for the wanted overlap (columns n, bits, n2, bits2).
+def _bits_fit(rule: JaccardRule, bits: str) -> Column:
+    """Bit counts leave room for the wanted overlap (columns n, bits and n2, bits + "2").
 
-    A bit that only one bitmap has stands for an element that only its set has.
+    A bit that only one bitmap has stands for an element that only its set has, so the
+    overlap is at most half of what the sizes hold beyond the bits that differ.
     """
-    words = F.least(F.size("bits"), F.size("bits2"))
-    a, b = _folded(F.col("bits"), words), _folded(F.col("bits2"), words)
-    most = F.least(F.col("n") - _only_left(a, b), F.col("n2") - _only_left(b, a))
+    words = F.least(F.size(bits), F.size(f"{bits}2"))
+    a, b = _folded(F.col(bits), words), _folded(F.col(f"{bits}2"), words)
+    differing = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    count = F.aggregate(differing, F.lit(0), lambda acc, n: acc + n)
     sizes = F.col("n") + F.col("n2")
-    fits = 100 * F.least("n", "n2") >= rule.percent * F.greatest("n", "n2")
-    return fits & ((100 + rule.percent) * most >= rule.percent * sizes)
+    return (100 + rule.percent) * (sizes - count) >= 2 * rule.percent * sizes
 
 
 def _sent_if_small(df: DataFrame, rule: JaccardRule) -> DataFrame:
@@ -158,7 +175,11 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, rule: Jaccard
     left = nodes.select(F.col("node").alias("u"), "n", "bits")
     right = nodes.select(F.col("node").alias("v"), F.col("n").alias("n2"), F.col("bits").alias("bits2"))
     near = stage(
-        pairs.join(left, "u").join(right, "v").where(_may_link(rule)).select("u", "v").distinct(),
+        pairs.join(left, "u")
+        .join(right, "v")
+        .where(_sizes_fit(rule) & _bits_fit(rule, "bits"))
+        .select("u", "v")
+        .distinct(),
         "pairs",
     )
     ids = near.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
@@ -193,9 +214,10 @@ def jaccard_components(docs: DataFrame, rule: JaccardRule | None = None) -> Data
     1. Equal sets become one node by a 128-bit digest: a group of copies, however
        large, is a minimum per digest.
     2. Every node shows a key per tile of its size band (``tile_keys``). In each tile
-       the smallest node is the pivot: pairs (pivot, member) are as many as members.
-       Tiles are counted with map-side minima first; only the members of tiles with
-       three nodes or more are listed at all.
+       the node that meets most others over all its tiles is the pivot, likely the
+       text that the others are copies of: pairs (pivot, member) are as many as
+       members. Tiles are counted with map-side minima first; only the members of
+       tiles with three nodes or more are listed at all.
     3. Pairs are bounded by bit counts, then settled by exact intersection.
     4. Tiles whose members are not in one component yet pair the members of
        different components, under the same bounds inside the join. So no link is
@@ -209,13 +231,16 @@ def jaccard_components(docs: DataFrame, rule: JaccardRule | None = None) -> Data
     docs = docs.select("doc_id", "text")
     sets = docs.select("doc_id", shingles(F.col("text"), rule.words).alias("set"))
     signed = stage(
-        sets.select(
-            "doc_id",
-            F.size("set").cast("long").alias("n"),
-            F.xxhash64("set").alias("d1"),
-            F.xxhash64(F.lit(1), "set").alias("d2"),
-            _signatures(rule)("set").alias("sig"),
-        ).select("doc_id", "n", "d1", "d2", "sig.bits", "sig.tiles"),
+        _signed(
+            sets.select(
+                "doc_id",
+                F.size("set").cast("long").alias("n"),
+                F.xxhash64("set").alias("d1"),
+                F.xxhash64(F.lit(1), "set").alias("d2"),
+                "set",
+            ),
+            rule,
+        ),
         "signatures",
     )
     members = signed.where("n > 0 and doc_id is not null")
@@ -228,7 +253,7 @@ def jaccard_components(docs: DataFrame, rule: JaccardRule | None = None) -> Data
     )
     nodes = members.join(_sent_if_small(copies, rule), ["doc_id", "d1", "d2"], "left_anti")
     narrow = stage(
-        nodes.select(F.col("doc_id").alias("node"), "n", "bits").distinct(), "nodes"
+        nodes.select(F.col("doc_id").alias("node"), "n", "bits", "brief").distinct(), "nodes"
     )
     shown = nodes.select(F.col("doc_id").alias("node"), F.explode("tiles").alias("tile"))
     met = stage(
@@ -237,11 +262,17 @@ def jaccard_components(docs: DataFrame, rule: JaccardRule | None = None) -> Data
         .where("u < v"),
         "met",
     )
-    crowded = met.where("size > 2").select("tile", F.col("u").alias("pivot"))
+    crowded = met.where("size > 2").select("tile", "size")
     tiled = stage(shown.join(_sent_if_small(crowded, rule), "tile"), "tiles")
+    weights = tiled.groupBy("node").agg(F.sum("size").alias("weight"))
+    weighed = stage(tiled.join(weights, "node").select("tile", "node", "weight"), "weighed")
+    central = weighed.groupBy("tile").agg(
+        F.max_by("node", F.struct("weight", -F.col("node"))).alias("pivot")
+    )
     stars = stage(
-        tiled.where("node != pivot")
-        .select(F.col("pivot").alias("u"), F.col("node").alias("v"))
+        weighed.join(central, "tile")
+        .where("node != pivot")
+        .select(F.least("pivot", "node").alias("u"), F.greatest("pivot", "node").alias("v"))
         .unionByName(met.where("size = 2").select("u", "v"))
         .distinct(),
         "stars",
@@ -259,20 +290,24 @@ def jaccard_components(docs: DataFrame, rule: JaccardRule | None = None) -> Data
     )
     open_tiles = split.where("least < most").select("tile")
     loose = stage(
-        labelled.join(open_tiles, "tile", "left_semi").join(narrow, "node"), "loose"
+        labelled.join(open_tiles, "tile", "left_semi").join(narrow.drop("bits"), "node"), "loose"
     )
     other = loose.select(
         "tile",
         F.col("node").alias("v"),
         F.col("component").alias("component2"),
         F.col("n").alias("n2"),
-        F.col("bits").alias("bits2"),
+        F.col("brief").alias("brief2"),
     )
     across = (
         loose.withColumnRenamed("node", "u")
         .join(other, "tile")
-        .where((F.col("component") < F.col("component2")) & _may_link(rule))
-        .select("u", "v")
+        .where(
+            (F.col("component") < F.col("component2"))
+            & _sizes_fit(rule)
+            & _bits_fit(rule, "brief")
+        )
+        .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
         .distinct()
         .join(stars, ["u", "v"], "left_anti")
     )
