@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -61,23 +62,40 @@ class QualityRules:
     max_lost_share: float = 0.5  # share of a document's word characters in removed lines
 
 
+# Characters that the line rules count.
+MARKS = "#*$%&<>{}~^=!?"
+SEPARATORS = "|»·•"
+
+
+def _has_furniture(text: Column) -> Column:
+    small = lower_ascii(text)
+    found = F.lit(False)
+    for phrase in FURNITURE:
+        found = found | F.contains(small, F.lit(phrase))
+    return found
+
+
+def _count(text: Column, characters: str) -> Column:
+    return F.length(text) - F.length(F.regexp_replace(text, f"[{re.escape(characters)}]+", ""))
+
+
 def _failing(rules: QualityRules, line: Column) -> Column:
     """Punctuation, navigation and boilerplate rules; a line without words never fails."""
-    solid = F.regexp_replace(line, f"[{BLANK}]+", "")
-    marks = F.length(solid) - F.length(F.translate(solid, "#*$%&<>{}~^=!?", ""))
-    separators = F.length(line) - F.length(F.translate(line, "|»·•", ""))
+    solid = F.length(F.regexp_replace(line, f"[{BLANK}]+", ""))
+    marks, separators = _count(line, MARKS), _count(line, SEPARATORS)
     words = F.size(blank_words(line))
-    phrase = F.lit(False)
-    small = lower_ascii(line)
-    for part in FURNITURE:
-        phrase = phrase | F.contains(small, F.lit(part))
     return (
-        (marks > F.length(solid) * rules.max_mark_share)
+        ((marks > 0) & (marks > solid * rules.max_mark_share))
         | ((separators >= rules.min_separators) & (separators > words * rules.max_separator_share))
-        | phrase
+        | _has_furniture(line)
     )
 
 
+def _may_fail(text: Column) -> Column:
+    """False only for texts of which no line can fail."""
+    return text.rlike(f"[{re.escape(MARKS + SEPARATORS)}]") | _has_furniture(text)
+
+
 def _repeated_words(words: Column, window: int) -> Column:
     """Words inside windows of ``window`` words that occur twice or more in the text."""
     hashes = F.transform(
@@ -141,16 +159,18 @@ def quality_rules(docs: DataFrame, rules: QualityRules | None = None) -> DataFra
             _repeated_words(w, rules.window).alias("repeated"),
         ),
     )
-    good = F.array_join(F.filter(lines, lambda x: ~_failing(rules, x)), "\n")
+    cleaned = F.array_join(F.filter(lines, lambda x: ~_failing(rules, x)), "\n")
+    good = F.when(_may_fail(text), cleaned).otherwise(text)
     names = kept_names(docs, OUTPUTS)
-    counted = docs.select(
-        *sealed(names),
+    facts = F.struct(
         words.alias("words"),
         solid.alias("word_chars"),
-        (F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
+        _count(text, "#*$%&|<>").cast("long").alias("n_symbols"),
         repeats.alias("n_dup_lines"),
         F.when(F.col("text").isNotNull(), good).alias("text"),
     )
+    # A generator's output is computed once, however often later expressions name it.
+    counted = docs.select(*sealed(names), F.inline(F.array(facts)))
     left = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), f"[{BLANK}]+", ""))
     lost = F.when(F.col("word_chars") > 0, 1 - left / F.col("word_chars")).otherwise(F.lit(0.0))
     n, repeated = F.col("words.n"), F.col("words.repeated")
