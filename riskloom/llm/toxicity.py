@@ -60,8 +60,24 @@ def weighted(text: str | None, weights: dict[str, float]) -> float:
     return 100 * sum(map(weights.get, filter(weights.__contains__, words))) / len(words)
 
 
+@dataclass(frozen=True)
+class Sparse:
+    """Entries of a matrix with few of them per row."""
+
+    row: np.ndarray
+    col: np.ndarray
+    value: np.ndarray
+    shape: tuple[int, int]
+
+    def times(self, v: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, self.value * v[self.col], self.shape[0])
+
+    def transposed_times(self, v: np.ndarray) -> np.ndarray:
+        return np.bincount(self.col, self.value * v[self.row], self.shape[1])
+
+
 def fit_cumulative_link(
-    x: np.ndarray, grades: np.ndarray, top: int, penalty: float, rounds: int
+    x: Sparse, grades: np.ndarray, top: int, penalty: float, rounds: int
 ) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ascending thresholds by penalised maximum likelihood (full-batch Adam).
 
@@ -76,11 +92,15 @@ def fit_cumulative_link(
     for t in range(1, rounds + 1):
         gaps = np.exp(np.clip(p[d + 1 :], -10, 10))
         cuts = p[d] + np.concatenate([[0.0], np.cumsum(gaps)])
-        miss = 1 / (1 + np.exp(np.clip(cuts - (x @ p[:d])[:, None], -500, 500))) - asked
+        miss = 1 / (1 + np.exp(np.clip(cuts - x.times(p[:d])[:, None], -500, 500))) - asked
         by_cut = -miss.mean(0)
         later = by_cut[::-1].cumsum()[::-1]
         slope = np.concatenate(
-            [x.T @ miss.sum(1) / n + penalty * p[:d], [later[0]], later[1:] * gaps]
+            [
+                x.transposed_times(miss.sum(1)) / n + penalty * p[:d],
+                [later[0]],
+                later[1:] * gaps,
+            ]
         )
         m, v = 0.9 * m + 0.1 * slope, 0.999 * v + 0.001 * slope**2
         p -= 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
@@ -135,12 +155,15 @@ def fit_toxicity(
         return OrdinalModel()
     rows = sample.select("doc_id", "toxic", _shares(features)("text").alias("x")).toPandas()
     rows = rows.sort_values("doc_id", kind="stable")  # bounded by ``sample_docs``
-    x = np.zeros((len(rows), len(features)), np.float32)
-    for i, pairs in enumerate(rows["x"]):
-        for at, value in zip(pairs["at"], pairs["share"]):
-            x[i, at] = value
+    sizes = [len(pairs["at"]) for pairs in rows["x"]]
+    x = Sparse(
+        np.repeat(np.arange(len(rows)), sizes),
+        np.concatenate([pairs["at"] for pairs in rows["x"]]).astype(np.int64),
+        np.concatenate([pairs["share"] for pairs in rows["x"]]).astype(float),
+        (len(rows), len(features)),
+    )
     grades = (rows["toxic"].to_numpy() > 0).astype(int)
-    amount = x.sum(1)
+    amount = x.times(np.ones(len(features)))
     severe = grades.astype(bool) & (amount > 0)
     if severe.any():
         grades[severe & (amount >= np.median(amount[severe]))] = 2
