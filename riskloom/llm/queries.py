@@ -84,7 +84,7 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    scanned = scan_secrets(docs)
+    scanned = scan_secrets(docs, keep=["doc_id"])
     listed = lambda spans: F.array_join(
         F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
     )

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -127,11 +127,14 @@ def learn_formats(located: DataFrame, params: SecretParams) -> FormatModel:
     return FormatModel(automata)
 
 
-def scan_secrets(docs: DataFrame, params: SecretParams | None = None) -> DataFrame:
+def scan_secrets(
+    docs: DataFrame, params: SecretParams | None = None, keep: Sequence[str] | None = None
+) -> DataFrame:
     """Add the credentials of each whole text.
 
-    Needs ``text``; returns all input columns and the columns of ``OUTPUTS``, which
-    replace input columns of the same names: numbers of base spans by kind, and all
+    Needs ``text``; returns all input columns, or only those of ``keep``, which spares
+    writing texts in between, and the columns of ``OUTPUTS``, which replace input
+    columns of the same names: numbers of base spans by kind, and all
     ``spans`` (kind, start, end in code points, end exclusive) by start, then kind.
     Kind "format" are tokens outside all base spans whose character classes an
     automaton learned from the base credentials finds likely; base spans always stay.
@@ -142,7 +145,7 @@ def scan_secrets(docs: DataFrame, params: SecretParams | None = None) -> DataFra
     """
     params = params or SecretParams()
     ship_package(docs.sparkSession)
-    names = kept_names(docs, OUTPUTS)
+    names = kept_names(docs if keep is None else docs.select(*keep), OUTPUTS)
     located = stage(
         docs.select(*sealed(names), _located()(F.col("text")).alias("found")).select(
             *(f"in{i}" for i in range(len(names))), "found.base", "found.rest"
