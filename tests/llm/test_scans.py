@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.automata import learn_automaton, symbols
 from riskloom.llm.language_id import ProfileParams, identify_language, learn_profiles
-from riskloom.llm.license_scan import NOTICES, scan_licenses
+from riskloom.llm.license_scan import NOTICES, TELLING, scan_licenses
 from riskloom.llm.secret_scan import FormatModel, scan_secrets
 from riskloom.llm.toxicity import OrdinalModel, ToxicityParams, fit_toxicity, score_toxicity
 from tests.llm import brute
@@ -66,6 +66,62 @@ def test_license_join_matches_brute_force(documents_of):
         assert {(m["label"], m["line"], m["share"]) for m in out[i]["matches"]} == want
 
 
+def test_license_notices_cross_lines_and_need_telling_words(documents_of):
+    permission, bsd = (next(n for _, n in NOTICES if n.startswith(w)) for w in ("permission", "redist"))
+
+    def wrapped(notice, n, mark="# ", gap="\n"):
+        words = notice.split()
+        return gap.join(mark + " ".join(words[len(words) * k // n : len(words) * (k + 1) // n]) for k in range(n))
+
+    filler = "plain prose about one day " * 40
+    rows = [
+        (1, "Licensed under\n\nthe Apache License, Version 2.0"),
+        (2, "Licensed\nunder the\n\n\nApache License,\nVersion 2.0"),
+        (3, filler + "\n" + wrapped(permission, 3) + "\n" + filler),
+        (4, wrapped(permission, 6, " * ")),
+        (5, wrapped(bsd, 5, "// ", "\n//\n")),
+        (6, filler + "Released under the MIT License. " + filler),
+        (7, "released " + filler + "under mit " + filler + "license"),
+        (8, "Released under the BSD license"),
+        (9, "Licensed under CC BY 4.0"),
+        (10, "licensed under the GNU General Public License version 2.0"),
+        (11, "Licensed under the Apache License, Version 1.0"),
+        (12, "This work is licensed under the GNU Free Documentation License version 1.3"),
+    ]
+    out = {r["doc_id"]: r for r in scan_licenses(documents_of(rows)).collect()}
+    assert {i: r["labels"] for i, r in out.items()} == {
+        1: "apache-2.0", 2: "apache-2.0", 3: "mit", 4: "mit", 5: "bsd", 6: "mit",
+        7: "", 8: "", 9: "cc-by", 10: "gpl", 11: "", 12: "",
+    }
+    assert [(m["word"], m["share"]) for m in out[3]["notices"]] == [(200, 1.0)]
+
+
+def test_license_notices_match_brute_force(documents_of):
+    rng = random.Random(14)
+    vocabulary = sorted({w for _, n in NOTICES for w in n.split()}) + ["x", "y"]
+    rows = []
+    for i in range(80):
+        _, notice = rng.choice(NOTICES)
+        words = rng.choices(vocabulary, k=rng.randint(0, 9))
+        for w in notice.split():
+            words += [w] * (rng.random() < 0.9) + rng.choices(vocabulary, k=int(rng.random() < 0.4))
+        rows.append((i, "".join(w + rng.choice(" \n") for w in words)))
+    out = {r["doc_id"]: r for r in scan_licenses(documents_of(rows)).collect()}
+    for i, text in rows:
+        want = []
+        words = brute.tokens(text)
+        for label, notice in NOTICES:
+            tokens = set(notice.split())
+            best = (0, 0)
+            for at in range(len(words)):
+                block = set(words[at : at + -(-3 * len(notice.split()) // 2)])
+                if 100 * len(tokens & block) >= 80 * len(tokens) and tokens & set(TELLING) <= block:
+                    best = max(best, (len(tokens & block) / len(tokens), -at))
+            if best[0]:
+                want.append((label, best[0]))
+        assert [(m["label"], m["share"]) for m in out[i]["notices"]] == want
+
+
 def test_license_edge(edge):
     out = scan_licenses(edge)
     assert out.count() == len(EDGE) and unique(out)
