@@ -56,14 +56,17 @@ class QualityRules:
     min_words: int = 10
     window: int = 5
     max_repeat_percent: int = 20
-    max_mark_share: float = 0.15  # symbols and exclamation marks among a line's characters
+    max_mark_share: float = 0.15  # symbols and runs of ! and ? among a line's characters
     min_separators: int = 3  # menu separators that make a navigation line ...
     max_separator_share: float = 0.25  # ... if they are that share of its words
+    max_furniture_words: int = 8  # a line with a phrase is furniture up to so many words ...
+    max_furniture_share: float = 0.3  # ... or if phrases are more of its characters than that
     max_lost_share: float = 0.5  # share of a document's word characters in removed lines
 
 
 # Characters that the line rules count.
-MARKS = "#*$%&<>{}~^=!?"
+MARKS = "#*$%&<>{}~^="
+SHOUTS = "[!?]{2,}"  # one alone ends a sentence
 SEPARATORS = "|»·•"
 
 
@@ -75,25 +78,39 @@ def _has_furniture(text: Column) -> Column:
     return found
 
 
+def _held(text: Column, pattern: str) -> Column:
+    """Characters in the matches of a pattern."""
+    return F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
+
+
 def _count(text: Column, characters: str) -> Column:
-    return F.length(text) - F.length(F.regexp_replace(text, f"[{re.escape(characters)}]+", ""))
+    return _held(text, f"[{re.escape(characters)}]+")
 
 
 def _failing(rules: QualityRules, line: Column) -> Column:
-    """Punctuation, navigation and boilerplate rules; a line without words never fails."""
+    """Punctuation, navigation and boilerplate rules; a line without words never fails.
+
+    A phrase of furniture makes only a short line fail, or one that is largely phrases:
+    prose may name a privacy policy.
+    """
     solid = F.length(F.regexp_replace(line, f"[{BLANK}]+", ""))
-    marks, separators = _count(line, MARKS), _count(line, SEPARATORS)
+    marks, separators = _count(line, MARKS) + _held(line, SHOUTS), _count(line, SEPARATORS)
     words = F.size(blank_words(line))
+    phrases = _held(lower_ascii(line), "|".join(FURNITURE))
+    whole = F.length(F.btrim(line, F.lit(BLANK_CHARS)))
     return (
         ((marks > 0) & (marks > solid * rules.max_mark_share))
         | ((separators >= rules.min_separators) & (separators > words * rules.max_separator_share))
-        | _has_furniture(line)
+        | (
+            _has_furniture(line)
+            & ((words <= rules.max_furniture_words) | (phrases > whole * rules.max_furniture_share))
+        )
     )
 
 
 def _may_fail(text: Column) -> Column:
     """False only for texts of which no line can fail."""
-    return text.rlike(f"[{re.escape(MARKS + SEPARATORS)}]") | _has_furniture(text)
+    return text.rlike(f"[{re.escape(MARKS + SEPARATORS)}]|{SHOUTS}") | _has_furniture(text)
 
 
 def _repeated_words(words: Column, window: int) -> Column:

@@ -42,6 +42,25 @@ def test_verdict(documents_of):
     assert out[7]["text"] is None and out[7]["lost_share"] == 0
 
 
+def test_prose_may_name_furniture_and_ask(documents_of):
+    prose = "The committee read the new privacy policy twice before any of its members went home."
+    long = [" ".join(f"Item{i} stands beside thing{i}." for i in part) for part in (range(200), range(200, 400))]
+    talk = "Why?\nBecause it rained all night and the road was gone.\nNo!\nYes, said the old man to them."
+    rows = [
+        (1, f"{long[0]} {prose} {long[1]}"),
+        (2, f"{prose}\nIt had grown late, and the terms of use had to wait until the next morning came."),
+        (3, talk),
+        (4, f"{prose}\nAccept all cookies\nPrivacy Policy"),
+        (5, f"{prose}\nBack to top - See our Privacy Policy - Terms of Use - Log in"),
+        (6, f"{prose}\nBuy now!!! Win???"),
+    ]
+    out = {r["doc_id"]: r for r in quality_rules(documents_of(rows)).collect()}
+    assert all(r["kept"] for r in out.values())
+    whole = dict(rows)
+    assert {i for i, r in out.items() if r["text"] == whole[i]} == {1, 2, 3}
+    assert {i for i, r in out.items() if r["text"] == prose} == {4, 5, 6}
+
+
 def test_empty_table_and_own_columns(edge):
     assert quality_rules(edge.where("false")).count() == 0
     out = quality_rules(edge)
