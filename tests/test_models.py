@@ -268,3 +268,26 @@ def test_svm_comes_near_the_exact_solution_with_few_landmarks(spark):
         want = exact_one_class(matrix(scores), models.svm.gamma, p.svm.nu)
         errors.append(np.abs(-scores["svm_score"].to_numpy() - want).max() / np.ptp(want))
     assert errors[1] < 0.01 and errors[1] < errors[0] < 0.5
+
+
+@pytest.mark.parametrize("n", [200, 300])
+def test_one_user_more_hardly_moves_the_svm_below_and_above_the_landmarks(spark, n):
+    a, b = (s["svm_score"].to_numpy() for s in one_more(spark, n, ("svm",)))
+    assert np.abs(a - b).max() < 0.12 * np.ptp(a)
+    assert np.abs(a - b).mean() < 0.02 * np.ptp(a)
+
+
+def test_svm_comes_near_the_exact_solution_with_the_default_landmarks(spark):
+    rng = np.random.default_rng(11)
+    data = rng.standard_t(6, size=(600, len(FEATURE_COLS)))
+    schema = "user_id long, role string, " + ", ".join(f"{c} double" for c in FEATURE_COLS)
+    table = spark.createDataFrame([(i, "r", *map(float, x)) for i, x in enumerate(data)], schema)
+    errors = []
+    for landmarks in (128, SvmParams().landmarks, 600):
+        p = dataclasses.replace(RiskParams(), svm=SvmParams(landmarks=landmarks))
+        models, scaled = fit_models(table, p, ("svm",))
+        scores = score_scaled(scaled, models).toPandas().sort_values("user_id", ignore_index=True)
+        want = exact_one_class(matrix(scores), models.svm.gamma, p.svm.nu)
+        errors.append(np.abs(-scores["svm_score"].to_numpy() - want).max() / np.ptp(want))
+    assert SvmParams().landmarks == 256
+    assert errors[2] < 0.01 and errors[2] < errors[1] < errors[0] < 0.5
