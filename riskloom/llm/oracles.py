@@ -237,6 +237,69 @@ FROM together
 """
 
 
+HARD_NEGATIVES_SQL = """
+WITH vectors AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+    CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+found AS (
+  SELECT anchor_id, positive_id, other AS negative_id, positive_score, score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS nth
+  FROM positives JOIN scores USING (anchor_id)
+  WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score)
+SELECT anchor_id, positive_id, CAST(nth AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM found WHERE nth <= 5
+"""
+
+
+SOURCE_DIVERGENCE_SQL = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row_no, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all({lower_ascii("coalesce(text, '')")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+held AS (
+  SELECT row_no, lang, source, term, count(*) AS n
+  FROM (SELECT row_no, lang, source, unnest(terms) AS term FROM docs) GROUP BY ALL),
+kept AS (
+  SELECT lang, term, sum(n) AS lang_n FROM held GROUP BY lang, term HAVING count(*) >= 3),
+langs AS (SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM kept GROUP BY lang),
+own AS (
+  SELECT lang, source, term, sum(n) AS n FROM held SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+totals AS (
+  SELECT lang, source, coalesce(sum(n), 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM docs) LEFT JOIN own USING (lang, source) GROUP BY ALL),
+shares AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n, lang_n, lang_total, v,
+    CAST(1 + 1000000000 * (coalesce(n, 0) + 1) // (total + v) AS BIGINT) AS p
+  FROM totals JOIN langs USING (lang) JOIN kept USING (lang) LEFT JOIN own USING (lang, source, term)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(coalesce(d.value, 0) AS BIGINT) AS value
+  FROM totals a JOIN totals b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (
+    SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // y.p) AS value
+    FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term GROUP BY ALL) d
+  ON d.lang = a.lang AND d.source = a.source AND d.item = b.source),
+against AS (
+  SELECT lang, source, term, n, p, CAST(1 + 1000000000 * (lang_n + 1) // (lang_total + v) AS BIGINT) AS q
+  FROM shares),
+terms AS (
+  SELECT lang, source, term AS item, (p - q) * (p - q) // q AS value FROM against WHERE n > 0 AND p > q),
+parts AS (SELECT *, 'pair' AS part FROM pairs UNION ALL SELECT *, 'term' AS part FROM terms)
+SELECT lang, source, part, item, value, CAST(nth AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS nth FROM parts)
+WHERE part = 'pair' OR nth <= 200
+"""
+
+
 def oracles() -> dict[str, str]:
     return {
         "op1_line_dedup": line_dedup_sql(
@@ -257,4 +320,6 @@ def oracles() -> dict[str, str]:
             "doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept",
         ),
         "op10_chat_format": CHAT_FORMAT_SQL,
+        "op12_hard_negatives": HARD_NEGATIVES_SQL,
+        "op13_source_divergence": SOURCE_DIVERGENCE_SQL,
     }

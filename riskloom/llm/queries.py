@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.llm.bpe import decode_bpe, encode_bpe
 from riskloom.llm.chat_format import format_chats, read_loss, read_turns
 from riskloom.llm.decontaminate import decontaminate
+from riskloom.llm.divergence import AuditRule, audit_sources
+from riskloom.llm.hard_negatives import MiningRule, mine_hard_negatives
 from riskloom.llm.language_id import ProfileParams, identify_language, learn_profiles
 from riskloom.llm.license_scan import NOTICES, scan_licenses
 from riskloom.llm.line_dedup import drop_common_lines
@@ -148,6 +152,33 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    both = decode_bpe(encode_bpe(docs, ranks, public_tokenizers.PATTERN), ranks)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        sha256(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(
+        rows.withColumn("label", moved),
+        F.col("vec_id") % 100 == 0,
+        MiningRule(scale=256, positives=5, negatives=5, low_percent=80, high_percent=100),
+    )
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("lang", "source", "text")
+    return audit_sources(docs, AuditRule(min_docs=3, scale=1_000_000_000, top_terms=200))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_line_dedup,
@@ -160,5 +191,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_source_mixing,
         op9_quality_rules,
         op10_chat_format,
+        op11_byte_bpe,
+        op12_hard_negatives,
+        op13_source_divergence,
     )
     return {query.__name__: query for query in every}
