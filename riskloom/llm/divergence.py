@@ -65,19 +65,18 @@ def term_counts(docs: DataFrame) -> DataFrame:
             places: dict[tuple[str, str], Counter] = defaultdict(Counter)
             documents: dict[tuple[str, str], Counter] = defaultdict(Counter)
             for lang, source, text in zip(*(c.to_pylist() for c in batch.columns)):
-                found: Counter = Counter()
+                own, held = places[lang, source], set()
                 for terms in terms_of(text):
-                    found.update(terms)
-                places[lang, source].update(found)
-                documents[lang, source].update(found.keys())
+                    own.update(terms)
+                    held.update(terms)
+                documents[lang, source].update(held)
             for (lang, source), n in places.items():
                 has = documents[lang, source]
                 n[""] = has[""] = 0
-                own = [[lang] * len(n), [source] * len(n), list(n), list(n.values())]
-                columns = [*own, [has[t] for t in n]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, f.type) for c, f in zip(columns, _COUNTS)], schema=_COUNTS
-                )
+                columns = [list(n), list(n.values()), list(map(has.__getitem__, n))]
+                group = [pa.repeat(pa.scalar(name), len(n)) for name in (lang, source)]
+                arrays = [pa.array(c, f.type) for c, f in zip(columns, list(_COUNTS)[2:])]
+                yield pa.RecordBatch.from_arrays([*group, *arrays], schema=_COUNTS)
 
     texts = docs.select(*(F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source", "text")))
     counted = texts.mapInArrow(count, "lang string, source string, term string, n long, docs long")
