@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -17,10 +16,9 @@ from pyspark.sql import functions as F
 from riskloom.sources.ship import ship_package
 from riskloom.sources.staging import stage
 
-_TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
-_GAP = re.compile(r"[\x00-\x40\x5B-\x60\x7B-\x7F]")
-_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
-_PIECE = 1 << 20  # characters of a long text whose terms are listed at once
+# On UTF-8 bytes: A-Z to lower case, ASCII but letters to blanks, all beyond ASCII as it is.
+_FOLD = bytes(c if c >= 0x80 or chr(c).isalpha() else 0x20 for c in range(256)).lower()
+_PIECE = 1 << 20  # bytes of a long text whose terms are listed at once
 _ROWS = 200_000  # postings that a task indexes at once
 _CELLS = 4_000_000  # accumulator cells that a task holds
 _COUNTS = pa.schema(
@@ -43,14 +41,14 @@ class AuditRule:
     salts: int = 64
 
 
-def terms_of(text: str) -> Iterator[list[str]]:
-    """Terms of a text, in lists of bounded length."""
+def terms_of(text: bytes) -> Iterator[list[bytes]]:
+    """Terms of a UTF-8 text, in lists of bounded length."""
+    folded = text.translate(_FOLD)
     at = 0
-    while at < len(text):
-        gap = _GAP.search(text, at + _PIECE) if len(text) - at > _PIECE else None
-        end = gap.start() if gap else len(text)
-        piece = text[at:end]
-        yield _TERM.findall(piece.lower() if piece.isascii() else piece.translate(_LOWER))
+    while at < len(folded):
+        end = folded.find(b" ", at + _PIECE)
+        end = len(folded) if end < 0 else end
+        yield folded[at:end].split()
         at = end
 
 
@@ -72,17 +70,21 @@ def term_counts(docs: DataFrame) -> DataFrame:
                 documents[lang, source].update(held)
             for (lang, source), n in places.items():
                 has = documents[lang, source]
-                n[""] = has[""] = 0
+                n[b""] = has[b""] = 0
                 columns = [list(n), list(n.values()), list(map(has.__getitem__, n))]
                 group = [pa.repeat(pa.scalar(name), len(n)) for name in (lang, source)]
-                arrays = [pa.array(c, f.type) for c, f in zip(columns, list(_COUNTS)[2:])]
+                kinds = (pa.binary(), pa.int64(), pa.int64())
+                arrays = [pa.array(c, kind) for c, kind in zip(columns, kinds)]
+                arrays[0] = arrays[0].cast(pa.string())
                 yield pa.RecordBatch.from_arrays([*group, *arrays], schema=_COUNTS)
 
-    texts = docs.select(*(F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source", "text")))
+    named = [F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source")]
+    texts = docs.select(*named, F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     counted = texts.mapInArrow(count, "lang string, source string, term string, n long, docs long")
-    return counted.groupBy("lang", "source", "term").agg(
-        F.sum("n").alias("n"), F.sum("docs").alias("docs")
-    )
+    # A task hands each key out about once, so sums before the shuffle would save no row.
+    keys = ("lang", "source", "term")
+    sums = counted.repartition(*keys).groupBy(*keys)
+    return sums.agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def _share(n: Column, total: Column, rule: AuditRule) -> Column:
@@ -206,23 +208,22 @@ def audit_sources(docs: DataFrame, rule: AuditRule | None = None) -> DataFrame:
     """
     rule = rule or AuditRule()
     ship_package(docs.sparkSession)
-    counts = stage(term_counts(docs), "term-counts")
-    occurring = counts.where("n > 0")
-    kept = (
-        occurring.groupBy("lang", "term")
-        .agg(
-            F.sum("docs").alias("docs"),
-            F.sum("n").alias("lang_n"),
-            F.count(F.lit(1)).alias("lists"),
-        )
-        .where(F.col("docs") >= rule.min_docs)
-        .drop("docs")
+    of_term = W.partitionBy("lang", "term")  # a row per source
+    counts = term_counts(docs).withColumns(
+        {
+            "docs": F.sum("docs").over(of_term),
+            "lang_n": F.sum("n").over(of_term),
+            "lists": F.count(F.lit(1)).over(of_term),
+            "first": F.min("source").over(of_term) == F.col("source"),
+        }
     )
-    kept_counts = stage(occurring.drop("docs").join(kept, ["lang", "term"]), "kept-terms")
+    listed = (F.col("docs") >= rule.min_docs) | (F.col("term") == "")
+    counts = stage(counts.where(listed).drop("docs"), "kept-terms")
+    kept = counts.where("term <> ''")
     langs = kept.groupBy("lang").agg(
-        F.count(F.lit(1)).alias("v"), F.sum("lang_n").alias("lang_total")
+        F.count_if("first").alias("v"), F.sum("n").alias("lang_total")
     )
-    own = kept_counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
+    own = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     everyone = W.partitionBy("lang")
     groups = (
         counts.where("term = ''")
@@ -244,7 +245,7 @@ def audit_sources(docs: DataFrame, rule: AuditRule | None = None) -> DataFrame:
         )
     )
     groups = stage(groups, "groups")
-    shares = kept_counts.join(groups, ["lang", "source"]).withColumns(
+    shares = kept.join(groups, ["lang", "source"]).withColumns(
         {
             "p": _share(F.col("n"), F.col("total"), rule),
             "q": _share(F.col("lang_n"), F.col("lang_total"), rule),

@@ -117,8 +117,8 @@ def test_no_rows(spark):
 
 
 def test_long_texts_are_read_in_pieces(monkeypatch):
-    text = "Some words, étranges 123 and more " * 40
+    text = ("Some words, étranges 123 and more " * 40).encode()
     whole = [t for part in terms_of(text) for t in part]
     monkeypatch.setattr(divergence, "_PIECE", 11)
     assert [t for part in terms_of(text) for t in part] == whole
-    assert list(terms_of("x" * 100)) == [["x" * 100]]
+    assert list(terms_of(b"x" * 100)) == [[b"x" * 100]] and list(terms_of(b"")) == []
