@@ -19,10 +19,10 @@ from riskloom.llm.text import kept_names, sealed, unsealed
 from riskloom.sources.ship import ship_package
 
 OUTPUTS = ("ids", "decoded")
-#: Entries that a task remembers, of pieces and of pairs each; then it starts anew.
-REMEMBERED = 500_000
+#: Entries that a Python worker remembers, of pieces and of pairs each; then it starts anew.
+REMEMBERED = 400_000
 #: Longer pieces are encoded without being remembered.
-LONGEST_KEPT = 256
+LONGEST_KEPT = 64
 #: The pieces of longer texts, in characters, are not listed at once.
 LISTED_TEXT = 1 << 20
 
@@ -49,56 +49,47 @@ class BytePairs:
         if not all(bytes([b]) in ranks for b in range(256)):
             raise ValueError("the ranks must hold every single byte")
         self.ranks = ranks
-        self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.parts: dict[int, tuple[int, int]] = {}  # the last merge of a token
         self.merged: dict[tuple[int, int], int] = {}  # and the other way round
-        self.shorter: dict[int, int | None] = {}  # longest token that a token begins with
-        self._apart: dict[tuple[int, int], bool] = {}
-        self._pieces: dict[str, array] = {}
+        many = max(ranks.values()) + 1
+        self.size = [0] * many
+        self.shorter: list[int | None] = [None] * many  # longest token that a token begins with
+        self.apart = _Pairs(self, many)
+        self.pieces = _Pieces(self)
         self._learn()
 
     def _learn(self) -> None:
         """Find the last merge of each token, and the token that each begins with."""
-        known = {}
+        known: dict[bytes, int] = {}
         for token, rank in sorted(self.ranks.items(), key=lambda pair: pair[1]):
-            if len(token) == 1:
-                known[token] = rank
-                continue
             for cut in range(len(token) - 1, 0, -1):
                 left, right = known.get(token[:cut]), known.get(token[cut:])
-                if left is not None and right is not None and self.apart(left, right):
+                if left is not None and right is not None and self.apart.of(left, right):
                     self.parts[rank] = left, right
                     self.merged[left, right] = rank
-                    known[token] = rank
                     break
-            if token not in known:
-                raise ValueError(f"token {rank} is no merge of two earlier tokens")
-        self._apart.clear()  # judged before all merges were known
-        self.automaton = ahocorasick.Automaton()
-        for token, rank in known.items():
-            self.automaton.add_word(token.decode("latin-1"), (len(token), rank))
+            else:
+                if len(token) > 1:
+                    raise ValueError(f"token {rank} is no merge of two earlier tokens")
+            known[token] = rank
+        self.apart.clear()  # judged before all merges were known
+        self.automaton = ahocorasick.Automaton()  # of Latin-1 characters, which stand for bytes
+        self.named = {token.decode("latin-1"): rank for token, rank in known.items()}
+        for token, rank in self.named.items():
+            self.automaton.add_word(token, rank)
         self.automaton.make_automaton()
         for token, rank in known.items():
+            self.size[rank] = len(token)
             starts = (known.get(token[:n]) for n in range(len(token) - 1, 0, -1))
             self.shorter[rank] = next((r for r in starts if r is not None), None)
-        self.size = {rank: len(token) for token, rank in known.items()}
-
-    def apart(self, left: int, right: int) -> bool:
-        """Whether the merges of both tokens' bytes end in just these two tokens."""
-        known = self._apart.get((left, right))
-        if known is None:
-            known = self._judge(left, right)
-            if len(self._apart) >= REMEMBERED:
-                self._apart.clear()
-            self._apart[left, right] = known
-        return known
-
-    def _judge(self, left: int, right: int) -> bool:
-        """Undo the merges beside the border, latest first.
-
-        A merge across the border counts if its rank comes before the merge that, on one
-        of its sides, next changes what lies at the border; of equal ranks the left
-        place is merged first.
+        self.longest = max(self.size)
+
+    def judge(self, left: int, right: int) -> bool:
+        """Whether the merges of both tokens' bytes end in just these two tokens.
+
+        Undoes the merges beside the border, latest first. A merge across the border counts
+        if its rank comes before the merge that, on one of its sides, next changes what lies
+        at the border; of equal ranks the left place is merged first.
         """
         before: float = float("inf")  # merges of lower rank find this border as it is now
         while True:
@@ -113,57 +104,81 @@ class BytePairs:
             else:
                 return True
 
-    def encode_bytes(self, piece: bytes) -> array:
+    def encode_bytes(self, piece: bytes) -> list[int]:
         """Token ids of one piece, in time linear in its length."""
         whole = self.ranks.get(piece)
         if whole is not None:
-            return array("i", (whole,))
-        longest = [0] * len(piece)
-        for end, (size, rank) in self.automaton.iter(piece.decode("latin-1")):
-            longest[end - size + 1] = rank  # longer matches of a place end later
-        open_at = bytearray(b"\x01") * (len(piece) + 1)
+            return [whole]
+        return self.backtracked(piece.decode("latin-1"))
+
+    def longest_at(self, latin: str, at: int) -> int:
+        """The longest token at a place; the trie bounds where to look for it."""
+        end = at + self.automaton.longest_prefix(latin[at : at + self.longest])
+        while (token := self.named.get(latin[at:end])) is None:
+            end -= 1
+        return token
+
+    def backtracked(self, latin: str) -> list[int]:
+        apart, many, size, shorter = self.apart, self.apart.many, self.size, self.shorter
+        dead: set[int] = set()  # places from which there is no way on
         found: list[int] = []
-        at, token = 0, longest[0] if piece else None
-        while at < len(piece):
-            while token is not None:
-                end = at + self.size[token]
-                if open_at[end] and (not found or self.apart(found[-1], token)):
+        at, goal = 0, len(latin)
+        while at < goal:
+            token: int | None = self.longest_at(latin, at)
+            while True:
+                if found:
+                    left = found[-1] * many
+                    while token is not None and not apart[left + token]:
+                        token = shorter[token]
+                if token is None:  # nothing fits here: take the last token back
+                    dead.add(at)
+                    token = found.pop()
+                    at -= size[token]
+                elif not dead or at + size[token] not in dead:
                     break
-                token = self.shorter[token]
-            if token is None:  # nothing fits here: take the last token back
-                open_at[at] = 0
-                last = found.pop()
-                at -= self.size[last]
-                token = self.shorter[last]
-            else:
-                found.append(token)
-                at = end
-                token = longest[at] if at < len(piece) else None
-        return array("i", found)
-
-    def encode_piece(self, piece: str) -> array:
-        ids = self._pieces.get(piece)
-        if ids is None:
-            ids = self.encode_bytes(piece.encode())
-            if len(piece) <= LONGEST_KEPT:
-                if len(self._pieces) >= REMEMBERED:
-                    self._pieces.clear()
-                self._pieces[piece] = ids
-        return ids
+                token = shorter[token]
+            found.append(token)
+            at += size[token]
+        return found
 
-    def encode(self, text: str, pattern: regex.Pattern) -> array:
-        """Ids of all matches of ``pattern`` in order; what it does not match has none."""
+    def encode(self, text: str, pattern: regex.Pattern) -> bytes:
+        """Ids, as 32-bit integers, of all matches of ``pattern``; the rest of a text has none."""
         if len(text) <= LISTED_TEXT:
             pieces = pattern.findall(text)
         else:
             pieces = map(itemgetter(0), pattern.finditer(text))
-        known, out = self._pieces, array("i")
-        for piece in pieces:
-            out.extend(known.get(piece) or self.encode_piece(piece))
-        return out
+        return b"".join(map(self.pieces.__getitem__, pieces))
+
+
+class _Pairs(dict):
+    """Which tokens hold beside each other, by left * many + right; remembered up to a bound."""
+
+    def __init__(self, pairs: BytePairs, many: int):
+        self.pairs, self.many = pairs, many
+
+    def __missing__(self, key: int) -> bool:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        holds = self[key] = self.pairs.judge(*divmod(key, self.many))
+        return holds
 
-    def decode(self, ids: Iterable[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+    def of(self, left: int, right: int) -> bool:
+        return self[left * self.many + right]
+
+
+class _Pieces(dict):
+    """Encoded pieces, remembered up to a bound."""
+
+    def __init__(self, pairs: BytePairs):
+        self.pairs = pairs
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = array("i", self.pairs.encode_bytes(piece.encode())).tobytes()
+        if len(piece) <= LONGEST_KEPT:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[piece] = ids
+        return ids
 
 
 @lru_cache(maxsize=2)
@@ -171,6 +186,15 @@ def _encoder(lines: bytes) -> BytePairs:
     return BytePairs(parse_ranks(lines))  # once per Python worker
 
 
+@lru_cache(maxsize=2)
+def _tokens(lines: bytes) -> dict[int, bytes]:
+    return {rank: token for token, rank in parse_ranks(lines).items()}
+
+
+def decode_ids(ids: Iterable[int], tokens: dict[int, bytes]) -> bytes:
+    return b"".join(map(tokens.__getitem__, ids))
+
+
 def _rank_lines(docs: DataFrame, ranks: str):
     """The file of ranks, some hundred kB, for every executor."""
     ship_package(docs.sparkSession)
@@ -178,10 +202,10 @@ def _rank_lines(docs: DataFrame, ranks: str):
         return docs.sparkSession.sparkContext.broadcast(file.read())
 
 
-def _lists(parts: list[array]) -> pa.Array:
-    sizes = np.cumsum([0, *map(len, parts)], dtype=np.int64)
-    flat = np.concatenate([np.asarray(p, np.int32) for p in parts] or [np.empty(0, np.int32)])
-    return pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat, pa.int32()))
+def _lists(parts: list[bytes]) -> pa.Array:
+    starts = np.cumsum([0, *(len(p) // 4 for p in parts)], dtype=np.int64)
+    ids = np.frombuffer(b"".join(parts), np.int32)
+    return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids, pa.int32()))
 
 
 def encode_bpe(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
@@ -217,10 +241,10 @@ def decode_bpe(docs: DataFrame, ranks: str) -> DataFrame:
 
     @F.arrow_udf("binary")
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        pairs = _encoder(lines.value)
+        tokens = _tokens(lines.value)
         for batch in batches:
-            rows = (row.values.to_numpy() if row.is_valid else () for row in batch)
-            yield pa.array([pairs.decode(ids.tolist() if len(ids) else ()) for ids in rows], pa.binary())
+            rows = (row.values.to_pylist() if row.is_valid else () for row in batch)
+            yield pa.array([decode_ids(ids, tokens) for ids in rows], pa.binary())
 
     found = docs.select(*sealed(names), decoded(F.col("ids")).alias("decoded"))
     return found.select(*unsealed(names), "decoded")
