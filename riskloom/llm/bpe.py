@@ -243,7 +243,7 @@ def decode_bpe(docs: DataFrame, ranks: str) -> DataFrame:
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokens = _tokens(lines.value)
         for batch in batches:
-            rows = (row.values.to_pylist() if row.is_valid else () for row in batch)
+            rows = (row.values.to_numpy().tolist() if row.is_valid else () for row in batch)
             yield pa.array([decode_ids(ids, tokens) for ids in rows], pa.binary())
 
     found = docs.select(*sealed(names), decoded(F.col("ids")).alias("decoded"))
