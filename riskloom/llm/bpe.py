@@ -20,9 +20,11 @@ from riskloom.sources.ship import ship_package
 
 OUTPUTS = ("ids", "decoded")
 #: Entries that a Python worker remembers, of pieces and of pairs each; then it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 #: Longer pieces are encoded without being remembered.
 LONGEST_KEPT = 64
+#: Rows whose results a task holds at once, besides the batch that Spark sent.
+ROWS_HELD = 256
 #: The pieces of longer texts, in characters, are not listed at once.
 LISTED_TEXT = 1 << 20
 
@@ -208,6 +210,12 @@ def _lists(parts: list[bytes]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids, pa.int32()))
 
 
+def _parts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for batch in batches:
+        for start in range(0, max(len(batch), 1), ROWS_HELD):
+            yield batch.slice(start, ROWS_HELD)
+
+
 def encode_bpe(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     """Add ``ids``, the tokens of each whole ``text``; an input column of that name goes.
 
@@ -223,8 +231,8 @@ def encode_bpe(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     @F.arrow_udf("array<int>")
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         pairs, pieces = _encoder(lines.value), regex.compile(pattern)
-        for batch in batches:
-            yield _lists([pairs.encode(text.as_py() or "", pieces) for text in batch])
+        for part in _parts(batches):
+            yield _lists([pairs.encode(text.as_py() or "", pieces) for text in part])
 
     found = docs.select(*sealed(names), encoded(F.col("text")).alias("ids"))
     return found.select(*unsealed(names), "ids")
@@ -242,8 +250,8 @@ def decode_bpe(docs: DataFrame, ranks: str) -> DataFrame:
     @F.arrow_udf("binary")
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokens = _tokens(lines.value)
-        for batch in batches:
-            rows = (row.values.to_numpy().tolist() if row.is_valid else () for row in batch)
+        for part in _parts(batches):
+            rows = (row.values.to_numpy().tolist() if row.is_valid else () for row in part)
             yield pa.array([decode_ids(ids, tokens) for ids in rows], pa.binary())
 
     found = docs.select(*sealed(names), decoded(F.col("ids")).alias("decoded"))
