@@ -8,6 +8,8 @@ stored ones.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -66,6 +68,65 @@ def user_stats(activity: DataFrame) -> DataFrame:
     return _combine(per_role.withColumn("first_role", first_role))
 
 
+#: Columns of one user's statistics in flat form, with the day that the first role is of.
+FLAT_STATS = {
+    **{c: "decimal(38,0)" if c.endswith("_sq") else "long" for c in _ADDED},
+    **{c: "long" for c in _KEPT_MAX},
+    "role_day": "int",
+    "role": "string",
+}
+
+
+def row_stats(activity: DataFrame) -> DataFrame:
+    """Each row's own statistics, flat, with its ``user_id`` and ``day``."""
+    columns = ["user_id", "day"]
+    for stat, (column, kind) in _COUNTED.items():
+        value = column if kind is None else f"CASE WHEN is_weekend = {kind} THEN {column} END"
+        columns += [f"bigint({value} IS NOT NULL) AS {stat}_n", f"bigint({value}) AS {stat}_sum"]
+    for stat, column in _SQUARED.items():
+        square = f"{_exact(column)} * {_exact(column)}"
+        columns.append(f"CAST({square} AS DECIMAL(38, 0)) AS {stat}_sq")
+    columns += [f"bigint({column}) AS {total}" for total, column in _TOTALS.items()]
+    columns += [f"bigint({column}) AS {stat}_max" for stat, column in _MAXIMA.items()]
+    columns += ["CASE WHEN role IS NOT NULL THEN day END AS role_day", "role"]
+    return activity.selectExpr(*columns)
+
+
+def flat_merger() -> Callable[[list, Sequence], None]:
+    """A function that adds flat statistics, in the order of ``FLAT_STATS``, to others in place.
+
+    It needs nothing of this module, so Spark can send it to where the package is not.
+    """
+    added, most = len(_ADDED), len(_KEPT_MAX)
+
+    def order(day: int | None, role: str) -> tuple:
+        return day is not None, day or 0, role
+
+    def merge(stats: list, more: Sequence) -> None:
+        for i, value in enumerate(more[:added]):
+            if value is not None:
+                stats[i] = value if stats[i] is None else stats[i] + value
+        for i, value in enumerate(more[added : added + most], added):
+            if value is not None and (stats[i] is None or value > stats[i]):
+                stats[i] = value
+        day, role = more[-2:]
+        if role is not None and (stats[-1] is None or order(day, role) < order(*stats[-2:])):
+            stats[-2:] = day, role
+
+    return merge
+
+
+def stats_of_flat(flat: DataFrame, prefix: str = "") -> DataFrame:
+    """User statistics as :func:`user_stats` gives them, from flat columns with a prefix."""
+    name = lambda c: F.col(prefix + c)
+    first = F.struct(name("role_day").alias("_day"), name("role").alias("role"))
+    return flat.select(
+        "user_id",
+        *(name(c).alias(c) for c in [*_ADDED, *_KEPT_MAX]),
+        F.when(name("role").isNotNull(), first).alias("first_role"),
+    )
+
+
 def _combine(rows: DataFrame) -> DataFrame:
     merged = [f"sum({c}) AS {c}" for c in _ADDED] + [f"max({c}) AS {c}" for c in _KEPT_MAX]
     merged.append("min(first_role) AS first_role")

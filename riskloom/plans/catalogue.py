@@ -29,7 +29,8 @@ from riskloom.streaming.job import RiskStream, replay_source
 
 PARAMS = RiskParams()
 #: Micro-batches of the replayed streams.
-REPLAY_FILES = 4
+REPLAY_PARTS = 4
+ROWS_PER_FILE = 250_000
 #: Last day of the earlier log state that ``upsert_scores`` starts from.
 EARLIER_DAY = 14
 
@@ -416,17 +417,24 @@ def model_facts(spark, sf_dir):
 
 
 def _replayed(spark: SparkSession, sf_dir: str, models: Models | None = None) -> RiskStream:
-    """Run a stream over the whole activity log, split by user into a few files, in order."""
+    """Run a stream over the whole activity log, split by user into a few parts, in order.
+
+    Every part has the same number of files, which is a micro-batch; more with more rows.
+    """
     ship_package(spark)
     source = new_path(spark, "replay")
     log = stage(activity(spark, sf_dir), "activity")
-    for part in range(REPLAY_FILES):  # one file and so one micro-batch each
-        rows = log.where(F.pmod("user_id", F.lit(REPLAY_FILES)) == part)
-        rows.repartition(1).write.mode("append").parquet(source)
+    log = log.withColumn("part", F.pmod("user_id", F.lit(REPLAY_PARTS)))
+    smallest = log.groupBy("part").count().agg(F.min("count")).first()[0] or 0
+    # Rows are dealt in turn, so no file is empty if some input partition has a row for each.
+    files = max(1, smallest // max(ROWS_PER_FILE, log.rdd.getNumPartitions()))
+    for part in range(REPLAY_PARTS):
+        rows = log.where(F.col("part") == part).drop("part")
+        rows.repartition(files).write.mode("append").parquet(source)
     job = RiskStream(
-        spark, new_path(spark, "stream"), PARAMS, models, total_batches=REPLAY_FILES
+        spark, new_path(spark, "stream"), PARAMS, models, total_batches=REPLAY_PARTS
     )
-    job.start(replay_source(spark, source), available_now=True).awaitTermination()
+    job.start(replay_source(spark, source, files), available_now=True).awaitTermination()
     return job
 
 

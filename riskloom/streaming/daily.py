@@ -9,6 +9,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from riskloom.operators.activity import daily_measures, day_index, is_weekend
 from riskloom.schemas import ACTIVITY_SCHEMA
+from riskloom.streaming.batch_log import BatchLog
 
 
 def daily_activity_stream(events: DataFrame, roles: DataFrame, late: str = "1 day") -> DataFrame:
@@ -33,18 +34,36 @@ def daily_activity_stream(events: DataFrame, roles: DataFrame, late: str = "1 da
     )
 
 
+_DAYS = T.StructType([*ACTIVITY_SCHEMA, T.StructField("batch_id", T.LongType())])
+
+
+def _newest(rows: DataFrame) -> DataFrame:
+    """Of each user-day the state of the newest batch."""
+    rest = [f.name for f in _DAYS if f.name not in ("user_id", "day")]
+    newest = F.max_by(F.struct(*rest), "batch_id").alias("newest")
+    states = rows.groupBy("user_id", "day").agg(newest)
+    return states.select("user_id", "day", "newest.*").select(*(f.name for f in _DAYS))
+
+
+def _log(spark: SparkSession, folder: str) -> BatchLog:
+    return BatchLog(spark, f"{folder}/days", _DAYS, _newest)
+
+
 def start_roll_up(
     events: DataFrame, roles: DataFrame, folder: str, late: str = "1 day"
 ) -> StreamingQuery:
     """Keep the newest state of every user-day below ``folder``, open days included.
 
     Each micro-batch writes the user-days it changed to a folder of its own, so a
-    replayed batch overwrites itself. Runs until the source has no more data.
+    replayed batch overwrites itself; superseded states go when folders are merged. Runs
+    until the source has no more data.
     """
     days = daily_activity_stream(events, roles, late)
+    log = _log(events.sparkSession, folder)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/days/batch_id={batch_id}")
+        log.write(batch.withColumn("batch_id", F.lit(batch_id).cast("long")), batch_id)
+        log.compact(batch_id)
 
     return (
         days.writeStream.outputMode("update")
@@ -57,10 +76,6 @@ def start_roll_up(
 
 def rolled_up(spark: SparkSession, folder: str) -> DataFrame:
     """The activity log that :func:`start_roll_up` has written so far."""
-    schema = T.StructType([*ACTIVITY_SCHEMA, T.StructField("batch_id", T.LongType())])
-    rows = spark.read.schema(schema).parquet(f"{folder}/days")
-    rest = [f.name for f in ACTIVITY_SCHEMA if f.name not in ("user_id", "day")]
-    newest = rows.groupBy("user_id", "day").agg(
-        F.max_by(F.struct(*rest), "batch_id").alias("newest")
-    )
-    return newest.select("user_id", "day", "newest.*").select(*(f.name for f in ACTIVITY_SCHEMA))
+    log = _log(spark, folder)
+    last = log.last()
+    return log.table(-1 if last is None else last).select(*(f.name for f in ACTIVITY_SCHEMA))

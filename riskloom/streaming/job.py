@@ -1,24 +1,22 @@
 """Risk scoring of an activity stream with Structured Streaming.
 
-Every micro-batch adds its rows to the stored user statistics, scores the users
-whose features changed, replaces their rows in the result, and records the range
-of raw risks over *all* users. Scores and levels follow from that range when the
-result is read, so a new extreme moves every user without rewriting a score.
-
-Users fall into a fixed number of buckets. Below the output folder:
-
-``stats/bucket=B/version=N``  user statistics of bucket B after batch N
-``raw/bucket=B/version=N``    model scores, totals and raw risk of its users
-``days/batch_id=N``           calendar days that batch N saw first
-``commits/batch_id=N``        one row, written last: batch metadata, number of days, raw
-                              range and the version of every bucket
-``history/upto=N``            metadata of the batches up to N, whose commits are gone
-
-A batch rewrites only the buckets of its users. Scores of all users change only
-when models are in use and a new day shifts the day-based rates; the level counts
-of the metadata read the raw risks, one column, of all users. Readers take the
-highest commit, so they never see a half-written batch. A replayed batch starts
-from the commit before it and overwrites its own versions.
+Spark's keyed state holds the statistics of every user: a micro-batch reads and writes
+the state of its own users. What changed goes to tables below the output folder, each a
+:class:`BatchLog`:
+
+``users``    statistics of the users of each batch; of a user the newest row counts
+``raws``     how many users gained or lost which raw risk, see ``levels``
+``commits``  one row per batch, written last: metadata, calendar days so far, raw range
+             and the number of users per cell of raw risks
+
+Scores and levels follow from the statistics and the committed range when the result is
+read, so a new extreme, or a new day that shifts the day-based rates, moves every user
+without rewriting a row. For the level counts of the metadata a batch reads a few cells
+of raw risks. Only when models are in use and a new day changes every user's features,
+all raw risks are computed again.
+
+Readers take the newest commit, so they never see a half-written batch. A replayed batch
+starts from the commit before it, as Spark's state does, and overwrites its own folders.
 """
 
 from __future__ import annotations
@@ -26,24 +24,26 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from riskloom.functions import risk as fn
 from riskloom.models.ensemble import Models, score_raw
 from riskloom.operators.features import (
+    FLAT_STATS,
     features_from_stats,
-    merge_stats,
+    stats_of_flat,
     totals_from_stats,
-    user_stats,
 )
 from riskloom.operators.report import score_stats
-from riskloom.operators.risk import ranked, with_levels, with_raw_risk
-from riskloom.operators.upsert import upsert
+from riskloom.operators.risk import ranked, with_raw_risk
 from riskloom.params import RiskParams
-from riskloom.schemas import ACTIVITY_SCHEMA, RISK_LEVELS
-from riskloom.sources.tables import delete_path, hadoop_path, read_if_exists
+from riskloom.schemas import ACTIVITY_SCHEMA
+from riskloom.sources.ship import ship_package
+from riskloom.streaming.batch_log import BatchLog
+from riskloom.streaming.levels import RAWS_SCHEMA, counted, level_counts, multiset
+from riskloom.streaming.state import CHANGED_SCHEMA, changed_users
 
 # Column names of the batch metadata.
 METADATA_COLS = [
@@ -60,18 +60,34 @@ METADATA_COLS = [
 _COMMIT_SCHEMA = (
     "batch_id long, batch_num int, total_batches int, users_in_batch int, "
     "total_users_processed int, timestamp timestamp, high_risk_count long, "
-    "critical_risk_count long, low double, high double, n_days long, versions array<long>"
+    "critical_risk_count long, low double, high double, raws_read long, "
+    "days array<int>, cells map<long, long>"
 )
-_ABSENT = -1  # version of a bucket without users
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def replay_source(spark: SparkSession, folder: str, files_per_batch: int = 1) -> DataFrame:
-    """Stream the activity files of a folder, a few per micro-batch."""
-    return (
-        spark.readStream.schema(ACTIVITY_SCHEMA)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(folder)
-    )
+def replay_source(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
+    """Stream the activity files of a folder: all that are new, or a few per micro-batch."""
+    reader = spark.readStream.schema(ACTIVITY_SCHEMA)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(folder)
+
+
+def _newest(rows: DataFrame) -> DataFrame:
+    """Of each user the row of the newest batch; what it was before matters no more."""
+    rest = ["known", *FLAT_STATS, "batch_id"]
+    newest = F.max_by(F.struct(*rest), "batch_id").alias("newest")
+    users = rows.groupBy("user_id").agg(newest).select("user_id", "newest.*")
+    gone = {f"old_{c}": F.lit(None).cast(kind) for c, kind in FLAT_STATS.items()}
+    return users.withColumns(gone | {"days": F.lit(None).cast("array<int>")})
+
+
+def _only_metadata(commits: DataFrame) -> DataFrame:
+    """Days and cells are read from the newest batch only, which is never merged away."""
+    kinds = {"days": "array<int>", "cells": "map<long, long>"}
+    return commits.withColumns({c: F.lit(None).cast(kind) for c, kind in kinds.items()})
 
 
 @dataclass
@@ -83,53 +99,39 @@ class RiskStream:
     params: RiskParams
     models: Models | None = None
     total_batches: int | None = None
-    #: Earlier versions of a bucket that are kept, for readers that are still on them.
-    keep: int = 2
-    #: Buckets of users; set once for an output folder.
-    buckets: int = 16
-    #: Commits that are left as single files before their metadata are moved to the history.
-    commits_kept: int = 50
+    #: Batches after which a table's small folders are merged.
+    keep: int = 32
+
+    def __post_init__(self) -> None:
+        def log(name, schema, merge):
+            return BatchLog(self.spark, f"{self.folder}/{name}", schema, merge, self.keep)
+
+        self.users = log("users", f"{CHANGED_SCHEMA}, batch_id long", _newest)
+        self.raws = log("raws", RAWS_SCHEMA, multiset)
+        self.commits = log("commits", _COMMIT_SCHEMA, _only_metadata)
 
     # Reading -----------------------------------------------------------------
 
-    def _ids(self, table: str, key: str) -> list[int]:
-        """Numbers of a table's folders, ascending; a listing, no file is read."""
-        fs, target = hadoop_path(self.spark, f"{self.folder}/{table}")
-        if not fs.exists(target):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(target)]
-        return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{key}="))
-
-    def _commit(self, batch_id: int) -> Row:
-        path = f"{self.folder}/commits/batch_id={batch_id}"
-        return self.spark.read.schema(_COMMIT_SCHEMA).parquet(path).first()
-
-    def _last_commit(self, before: int | None = None) -> Row | None:
-        found = [i for i in self._ids("commits", "batch_id") if before is None or i < before]
-        return self._commit(found[-1]) if found else None
-
-    def _state(self, table: str, versions: list[int], buckets: set[int]) -> DataFrame | None:
-        """Rows of some buckets in given versions; None where there are none."""
-        paths = [
-            f"{self.folder}/{table}/bucket={b}/version={versions[b]}"
-            for b in sorted(buckets)
-            if versions[b] != _ABSENT
-        ]
-        return self.spark.read.parquet(*paths) if paths else None
-
-    def _everyone(self, table: str, commit: Row) -> DataFrame:
-        return self._state(table, commit["versions"], set(range(self.buckets)))
+    def last_commit(self, before: int | None = None) -> Row | None:
+        last = self.commits.last(before)
+        return None if last is None else self.commits.batch(last).first()
 
     def current_scores(self) -> DataFrame | None:
         """Every user seen so far, scored over all of them, highest risk first."""
-        commit = self._last_commit()
-        return None if commit is None else ranked(self._scored(commit))
+        commit = self.last_commit()
+        if commit is None:
+            return None
+        low, high = F.lit(commit["low"]).cast("double"), F.lit(commit["high"]).cast("double")
+        score = fn.scale_to_100(F.col("risk_score_raw"), low, high)
+        level = fn.risk_level(F.col("risk_score"), self.params)
+        raw = self._raw(self._everyone(commit["batch_id"]), len(commit["days"]))
+        return ranked(raw.withColumn("risk_score", score).withColumn("risk_level", level))
 
     def current_features(self) -> DataFrame | None:
-        commit = self._last_commit()
+        commit = self.last_commit()
         if commit is None:
             return None
-        return features_from_stats(self._everyone("stats", commit), F.lit(commit["n_days"]))
+        return features_from_stats(self._everyone(commit["batch_id"]), F.lit(len(commit["days"])))
 
     def current_stats(self) -> DataFrame | None:
         scores = self.current_scores()
@@ -137,188 +139,96 @@ class RiskStream:
 
     def metadata(self) -> DataFrame | None:
         """One row per micro-batch."""
-        commits = read_if_exists(self.spark, f"{self.folder}/commits", _COMMIT_SCHEMA)
-        if commits is None:
-            return None
-        rows = commits.select("batch_id", *METADATA_COLS)
-        moved = self._ids("history", "upto")
-        if moved:
-            old = self.spark.read.schema(rows.schema).parquet(
-                f"{self.folder}/history/upto={moved[-1]}"
-            )
-            rows = old.unionByName(rows.where(F.col("batch_id") > moved[-1]))
-        return rows.select(*METADATA_COLS)
-
-    def _scored(self, commit: Row) -> DataFrame:
-        low, high = F.lit(commit["low"]).cast("double"), F.lit(commit["high"]).cast("double")
-        score = fn.scale_to_100(F.col("risk_score_raw"), low, high)
-        level = fn.risk_level(F.col("risk_score"), self.params)
-        raw = self._everyone("raw", commit)
-        return raw.withColumn("risk_score", score).withColumn("risk_level", level)
+        last = self.commits.last()
+        return None if last is None else self.commits.rows(last).select(*METADATA_COLS)
 
-    # Writing -----------------------------------------------------------------
+    def _everyone(self, batch_id: int) -> DataFrame:
+        return stats_of_flat(self.users.table(batch_id))
 
-    def process(self, batch: DataFrame, batch_id: int) -> None:
-        """Handle one micro-batch; the ``foreachBatch`` function."""
-        batch = batch.persist()  # its rows are read several times below
-        try:
-            self._process(batch, batch_id)
-        finally:
-            batch.unpersist()
+    def _raw(self, stats: DataFrame, n_days: int) -> DataFrame:
+        """Raw risk of users; without models their features play no part."""
+        if self.models is None:
+            scored = totals_from_stats(stats)
+        else:
+            features = features_from_stats(stats, F.lit(n_days))
+            scored = score_raw(features, self.models, mode="stream")
+        return with_raw_risk(scored, self.params)
+
+    # Writing -----------------------------------------------------------------
 
-    def _process(self, batch: DataFrame, batch_id: int) -> None:
-        users = batch.select("user_id").where("user_id is not null").distinct()
-        counted = users.groupBy(self._bucket().alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
-        seen = {r["bucket"]: r["n"] for r in counted.collect()}  # at most ``buckets`` rows
-        if not seen:
+    def process(self, changed: DataFrame, batch_id: int) -> None:
+        """Handle the changed users of one micro-batch; the ``foreachBatch`` function."""
+        self.users.write(changed.withColumn("batch_id", F.lit(batch_id).cast("long")), batch_id)
+        mine = self.users.batch(batch_id)  # the state is read and written once
+        users, new = mine.agg(F.count(F.lit(1)), F.count_if(~F.col("known"))).first()
+        if not users:
             return
-        previous = self._last_commit(before=batch_id)
-        old = previous["versions"] if previous else [_ABSENT] * self.buckets
-        new_days = self._write_days(batch, batch_id)
-        n_days = (previous["n_days"] if previous else 0) + new_days
-        touched = set(seen)
-        versions = [batch_id if b in touched else v for b, v in enumerate(old)]
-
-        stats = user_stats(batch)
-        before = self._state("stats", old, touched)
-        if before is not None:
-            stats = merge_stats(before, stats)
-        self._write("stats", stats, batch_id)
-        all_change = self.models is not None and new_days > 0
-        raw_versions = self._write_raw(users, old, versions, touched, all_change, n_days, batch_id)
-
-        raw = self._state("raw", raw_versions, set(range(self.buckets)))
-        after = (
-            with_levels(raw.select("risk_score_raw"), self.params)
-            .agg(
-                F.count(F.lit(1)).alias("users"),
-                *(F.count_if(F.col("risk_level") == lv).alias(lv) for lv in RISK_LEVELS),
-                F.min(fn.without_nan(F.col("risk_score_raw"))).alias("low"),
-                F.max(fn.without_nan(F.col("risk_score_raw"))).alias("high"),
-            )
-            .first()
-        )
+        previous = self.last_commit(before=batch_id)
+        days = set(previous["days"]) if previous else set()
+        seen = mine.select(F.explode("days").alias("day")).distinct().collect()  # a calendar
+        more_days = not {r["day"] for r in seen} <= days
+        days |= {r["day"] for r in seen}
+        self._write_raws(mine, previous, len(days), more_days, batch_id)
+
+        cells = dict(previous["cells"]) if previous else {}
+        moved = self.raws.batch(batch_id).groupBy("cell").agg(F.sum("n").alias("n"))
+        for cell, n in moved.collect():  # bounded by the number of cells
+            cells[cell] = cells.get(cell, 0) + n
+        cells = {cell: n for cell, n in cells.items() if n}
+        levels = level_counts(self.raws.rows(batch_id), cells, self.params)
+        now = datetime.now()
         row = {
             "batch_id": batch_id,
             "batch_num": (previous["batch_num"] if previous else 0) + 1,
             "total_batches": self.total_batches,
-            "users_in_batch": sum(seen.values()),
-            "total_users_processed": after["users"],
-            "timestamp": datetime.now(),
-            "high_risk_count": after["High"],
-            "critical_risk_count": after["Critical"],
-            "low": after["low"],
-            "high": after["high"],
-            "n_days": n_days,
-            "versions": versions,
+            "users_in_batch": users,
+            "total_users_processed": (previous["total_users_processed"] if previous else 0) + new,
+            "timestamp": max(now, previous["timestamp"]) if previous else now,
+            "high_risk_count": levels.users["High"],
+            "critical_risk_count": levels.users["Critical"],
+            "low": levels.low,
+            "high": levels.high,
+            "raws_read": levels.rows_read,
+            "days": sorted(days),
+            "cells": cells,
         }
-        kinds = dict(f.rsplit(" ", 1) for f in _COMMIT_SCHEMA.split(", "))
-        commit = self.spark.range(1).select(
-            *(F.lit(value).cast(kinds[name]).alias(name) for name, value in row.items())
-        )
-        commit.write.mode("overwrite").parquet(f"{self.folder}/commits/batch_id={batch_id}")
-        self._drop_old_versions(versions, batch_id)
-        self._move_old_commits(batch_id)
-
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64("user_id"), F.lit(self.buckets)).cast("int")
-
-    def _write(self, table: str, rows: DataFrame, batch_id: int) -> None:
-        """Write the rows' buckets in this batch's version; other buckets stay as they are."""
-        placed = rows.withColumns({"bucket": self._bucket(), "version": F.lit(batch_id)})
-        (
-            placed.repartition("bucket")
-            .write.partitionBy("bucket", "version")
-            .mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .parquet(f"{self.folder}/{table}")
-        )
-
-    def _write_days(self, batch: DataFrame, batch_id: int) -> int:
-        """Store the calendar days that no earlier batch has seen; their number."""
-        days = batch.select("day").where("day is not null").distinct()
-        earlier = [i for i in self._ids("days", "batch_id") if i < batch_id]
-        if earlier:
-            paths = [f"{self.folder}/days/batch_id={i}" for i in earlier]
-            days = days.join(self.spark.read.schema(days.schema).parquet(*paths), "day", "left_anti")
-        path = f"{self.folder}/days/batch_id={batch_id}"
-        days.coalesce(1).write.mode("overwrite").parquet(path)  # a few calendar days
-        n = self.spark.read.schema(days.schema).parquet(path).count()
-        if not n:
-            delete_path(self.spark, path)
-        return n
-
-    def _write_raw(
-        self,
-        users: DataFrame,
-        old: list[int],
-        versions: list[int],
-        touched: set[int],
-        all_change: bool,
-        n_days: int,
-        batch_id: int,
-    ) -> list[int]:
-        """Score the users whose features changed; returns the versions of the raw buckets.
-
-        Without models the features play no part, so only users of the batch change.
-        When everyone changes all buckets get this version, and so they do in the commit.
-        """
-        everyone = {b for b, v in enumerate(versions) if v != _ABSENT}
-        stats = self._state("stats", versions, everyone if all_change else touched)
-        if not all_change:
-            stats = stats.join(users, "user_id", "left_semi")
-        if self.models is None:
-            scored = totals_from_stats(stats)
+        commit = self.spark.createDataFrame([tuple(row.values())], _COMMIT_SCHEMA)
+        self.commits.write(commit.coalesce(1), batch_id)
+        for table in (self.users, self.raws, self.commits):
+            table.compact(batch_id)
+
+    def _write_raws(
+        self, mine: DataFrame, previous: Row | None, n_days: int, more_days: bool, batch_id: int
+    ) -> None:
+        """Store which raw risks the batch takes away and which it adds."""
+        if self.models is not None and more_days and previous is not None:
+            after = self._everyone(batch_id)  # day-based rates of everyone change
+            gone = self.raws.table(batch_id - 1).withColumn("n", -F.col("n"))
         else:
-            scored = score_raw(
-                features_from_stats(stats, F.lit(n_days)), self.models, mode="stream"
-            )
-        raw = with_raw_risk(scored, self.params)
-        before = None if all_change else self._state("raw", old, touched)
-        self._write("raw", raw if before is None else upsert(before, raw), batch_id)
-        if all_change:
-            untouched = everyone - touched
-            if untouched:
-                self._write("stats", self._state("stats", versions, untouched), batch_id)
-            for b in untouched:
-                versions[b] = batch_id
-        return versions
-
-    def _drop_old_versions(self, versions: list[int], batch_id: int) -> None:
-        """Remove what neither this commit nor the ``keep`` commits before it list."""
-        commits = [i for i in self._ids("commits", "batch_id") if i < batch_id]
-        if len(commits) <= self.keep:
-            return
-        first_kept = len(commits) - self.keep
-        kept = self._commit(commits[first_kept])["versions"] if self.keep else versions
-        gone = self._commit(commits[first_kept - 1])["versions"]
-        for b, (old, new) in enumerate(zip(gone, kept)):
-            if old not in (new, _ABSENT):
-                for table in ("stats", "raw"):
-                    delete_path(self.spark, f"{self.folder}/{table}/bucket={b}/version={old}")
-
-    def _move_old_commits(self, batch_id: int) -> None:
-        """Now and then, turn all but the newest commits into one table of metadata."""
-        commits = self._ids("commits", "batch_id")
-        if len(commits) < 2 * self.commits_kept:
-            return
-        last = commits[-self.commits_kept - 1]
-        moved = self._ids("history", "upto")
-        paths = [f"{self.folder}/commits/batch_id={i}" for i in commits if i <= last]
-        rows = self.spark.read.schema(_COMMIT_SCHEMA).parquet(*paths)
-        rows = rows.select("batch_id", *METADATA_COLS)
-        if moved:
-            earlier = f"{self.folder}/history/upto={moved[-1]}"
-            rows = self.spark.read.schema(rows.schema).parquet(earlier).unionByName(rows)
-        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/history/upto={last}")
-        for path in paths + [f"{self.folder}/history/upto={i}" for i in moved]:
-            delete_path(self.spark, path)
+            after = stats_of_flat(mine)
+            before = stats_of_flat(mine.where("known"), "old_")
+            gone = counted(self._raw(before, n_days), -1)
+        come = counted(self._raw(after, n_days), 1)
+        self.raws.write(multiset(come.unionByName(gone)), batch_id)
 
     def start(self, source: DataFrame, available_now: bool = False) -> StreamingQuery:
-        """Run over a stream of activity rows, at the configured interval by default."""
-        writer = source.writeStream.foreachBatch(self.process).option(
-            "checkpointLocation", f"{self.folder}/checkpoint"
+        """Run over a stream of activity rows, at the configured interval by default.
+
+        State lies in RocksDB, with the checkpoint below the output folder; the session's own
+        choice of a state store stays as it is.
+        """
+        ship_package(self.spark)
+        writer = (
+            changed_users(source)
+            .writeStream.outputMode("update")
+            .foreachBatch(self.process)
+            .option("checkpointLocation", f"{self.folder}/checkpoint")
         )
-        if available_now:
-            return writer.trigger(availableNow=True).start()
-        return writer.trigger(processingTime=f"{self.params.interval_seconds} seconds").start()
+        every = {"processingTime": f"{self.params.interval_seconds} seconds"}
+        writer = writer.trigger(**({"availableNow": True} if available_now else every))
+        before = self.spark.conf.get(_PROVIDER)
+        self.spark.conf.set(_PROVIDER, _ROCKSDB)
+        try:
+            return writer.start()
+        finally:
+            self.spark.conf.set(_PROVIDER, before)
