@@ -5,6 +5,7 @@ from __future__ import annotations
 import warnings
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -22,7 +23,7 @@ from riskloom.operators.scaling import apply_scaler, fit_scaler, scaler_lookup
 from riskloom.params import RiskParams
 from riskloom.schemas import MODEL_SCORES, require_features
 from riskloom.sources.staging import stage
-from riskloom.sources.tables import read_if_exists, write_table
+from riskloom.sources.tables import delete_path, stored_table, write_table
 
 Scaler = dict[str, tuple[float, float]]
 
@@ -168,11 +169,55 @@ def with_offset(scored: DataFrame, models: Models) -> DataFrame:
 # Model tables ---------------------------------------------------------------
 
 
+_MANIFEST = "manifest"
+_TABLES = ("scaler", "iforest_nodes", "iforest_meta", "ocsvm_landmarks", "ocsvm_meta", "autoencoder")
+
+
+def _content(table: DataFrame) -> DataFrame:
+    """Number of rows, and a digest of them in any order."""
+    whole = F.xxhash64(*table.columns)
+    return table.agg(F.count(F.lit(1)).alias("rows"), F.bit_xor(whole).alias("digest"))
+
+
+def _write_manifest(spark: SparkSession, folder: str, tables: list[str]) -> None:
+    contents = [
+        _content(spark.read.parquet(f"{folder}/{name}")).withColumn("table", F.lit(name))
+        for name in tables
+    ]
+    whole = reduce(DataFrame.unionByName, contents).select("table", "rows", "digest")
+    write_table(whole.coalesce(1), f"{folder}/{_MANIFEST}")  # a row per table
+
+
+def inventory(spark: SparkSession, folder: str) -> DataFrame:
+    """``table``, ``rows`` and ``digest`` of each table of the stored set of models.
+
+    A set is what one :func:`save_models` wrote, whole: anything else is refused.
+    """
+    listed = stored_table(spark, f"{folder}/{_MANIFEST}")
+    if listed is None:
+        raise FileNotFoundError(f"no trained models in {folder}")
+    for name, rows, digest in listed.select("table", "rows", "digest").collect():
+        table = stored_table(spark, f"{folder}/{name}")
+        if table is None or tuple(_content(table).first()) != (rows, digest):
+            raise ValueError(f"{folder}: {name} is not of the stored set of models")
+    return listed
+
+
 def save_models(spark: SparkSession, models: Models, folder: str) -> None:
-    """Write each model as Parquet tables below ``folder``."""
+    """Write each model as Parquet tables below ``folder``, and last the list of them.
+
+    Until then the folder holds no set of models; tables of an older one go.
+    """
+    written: list[str] = []
+    for name in (_MANIFEST, *_TABLES):
+        delete_path(spark, f"{folder}/{name}")
+
+    def store(table: DataFrame, name: str) -> None:
+        write_table(table, f"{folder}/{name}")
+        written.append(name)
 
     def write(rows: list[tuple], schema: str, name: str) -> None:
-        write_table(spark.createDataFrame(rows, schema).coalesce(1), f"{folder}/{name}")
+        store(spark.createDataFrame(rows, schema).coalesce(1), name)
 
     write(
         [(i, c, m, s) for i, (c, (m, s)) in enumerate(models.scaler.items())],
@@ -182,7 +227,7 @@ def save_models(spark: SparkSession, models: Models, folder: str) -> None:
     if models.forest is not None:
         f = models.forest
         nodes = spark.createDataFrame(f.nodes, isolation_forest.NODE_SCHEMA)
-        write_table(nodes.coalesce(1), f"{folder}/iforest_nodes")
+        store(nodes.coalesce(1), "iforest_nodes")
         write([(f.psi, f.offset)], "psi int, offset double", "iforest_meta")
     if models.svm is not None:
         s = models.svm
@@ -204,15 +249,17 @@ def save_models(spark: SparkSession, models: Models, folder: str) -> None:
             "layer int, inputs int, outputs int, weights array<double>, bias array<double>",
             "autoencoder",
         )
+    _write_manifest(spark, folder, written)
 
 
 def load_models(spark: SparkSession, folder: str) -> Models:
-    """Read the model tables; an absent model is warned about, none at all is an error."""
+    """Read the stored set of models; an absent model is warned about, no set is an error."""
+    listed = {r["table"] for r in inventory(spark, folder).collect()}
 
     def rows(name: str, order: str | None = None) -> list | None:
-        table = read_if_exists(spark, f"{folder}/{name}")
-        if table is None:
+        if name not in listed:
             return None
+        table = spark.read.parquet(f"{folder}/{name}")
         return (table.orderBy(order) if order else table).collect()
 
     found: dict[str, object] = {}

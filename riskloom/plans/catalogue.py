@@ -13,7 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.models.ensemble import Models, fit_models, load_models, save_models, score_scaled
+from riskloom.models.ensemble import (
+    Models,
+    fit_models,
+    inventory,
+    load_models,
+    save_models,
+    score_scaled,
+)
 from riskloom.models.isolation_forest import NODE_SCHEMA
 from riskloom.operators import batches, features, report, risk, scaling
 from riskloom.operators.activity import daily_activity, for_users, roles_of
@@ -23,7 +30,12 @@ from riskloom.plans import pipeline
 from riskloom.schemas import CUSTOMER_SCHEMA, EVENT_SCHEMA
 from riskloom.sources.ship import ship_package
 from riskloom.sources.staging import new_path, stage
-from riskloom.sources.tables import load_or_compute, read_activity, write_alerts_csv, write_table
+from riskloom.sources.tables import (
+    load_or_compute,
+    read_activity,
+    rejected_activity,
+    write_alerts_csv,
+)
 from riskloom.streaming.daily import rolled_up, start_roll_up
 from riskloom.streaming.job import RiskStream, replay_source
 
@@ -31,6 +43,8 @@ PARAMS = RiskParams()
 #: Micro-batches of the replayed streams.
 REPLAY_PARTS = 4
 ROWS_PER_FILE = 250_000
+#: Added to user ids: doubles do not tell odd numbers beyond it from even ones.
+BEYOND_DOUBLES = 2**53
 #: Last day of the earlier log state that ``upsert_scores`` starts from.
 EARLIER_DAY = 14
 
@@ -239,21 +253,41 @@ def behaviour_profile(spark, sf_dir):
 def stored_scores(spark, sf_dir):
     """The stored scored table, computed and written on the first request."""
     path = new_path(spark, "scored")
+    tables = [f"{sf_dir}/{name}.parquet" for name in ("events", "customer")]
+    load_or_compute(spark, path, lambda: _scored(spark, sf_dir), *tables)
+    return rounded(load_or_compute(spark, path, lambda: _scored(spark, sf_dir), *tables))
 
-    def compute() -> DataFrame:
-        write_table(_scored(spark, sf_dir), path)
-        return spark.read.parquet(path)
 
-    load_or_compute(spark, path, compute)
-    return rounded(load_or_compute(spark, path, compute))
+def _csv_log(spark: SparkSession, sf_dir: str) -> str:
+    """The activity log as CSV, columns from the last to the first.
+
+    Users have ids that only exact reading tells apart, and files are counted in halves.
+    """
+    path = new_path(spark, "activity-csv")
+    log = activity(spark, sf_dir).withColumns(
+        {
+            "user_id": F.col("user_id") + BEYOND_DOUBLES,
+            "files_accessed": (F.col("files_accessed") / 2).cast("decimal(20,1)"),
+        }
+    )
+    log.select(*log.columns[::-1]).write.csv(path, header=True)
+    return path
 
 
 @_register
 def csv_activity(spark, sf_dir):
-    """The activity log written as CSV and read back with the fixed schema."""
-    path = new_path(spark, "activity-csv")
-    activity(spark, sf_dir).write.csv(path, header=True)
-    return read_activity(spark, path, "csv")
+    """The activity log read back from CSV, without the rows that have half a file."""
+    return read_activity(spark, _csv_log(spark, sf_dir), "csv")
+
+
+@_register
+def csv_rejects(spark, sf_dir):
+    """The lines of the CSV that are no rows, by what is wrong with them."""
+    rejected = rejected_activity(spark, _csv_log(spark, sf_dir))
+    return rejected.select(
+        F.element_at(F.split("record", ","), -1).cast("long").alias("user_id"),
+        F.array_join("reasons", ",").alias("reasons"),
+    )
 
 
 # Batches and upserts --------------------------------------------------------
@@ -385,6 +419,21 @@ def stored_model_scores(spark, sf_dir):
     return pipeline.score_requests(requests, loaded, PARAMS)
 
 
+@_register
+def model_inventory(spark, sf_dir):
+    """The tables of a stored set of models; the forest's rows are given by their bound."""
+    models, _ = _fitted(spark, sf_dir, "forest", "svm")
+    folder = new_path(spark, "models")
+    save_models(spark, models, folder)
+    most = 2 * PARAMS.forest.trees * PARAMS.forest.max_samples
+    grown = F.col("table") == "iforest_nodes"
+    return inventory(spark, folder).select(
+        F.col("table").alias("model_table"),
+        F.when(~grown, F.col("rows")).alias("rows"),
+        F.when(grown, F.col("rows").between(PARAMS.forest.trees, most)).alias("in_bounds"),
+    )
+
+
 @_register
 def model_facts(spark, sf_dir):
     """What the fitted models must satisfy, in numbers that follow from the tables alone.

@@ -254,7 +254,13 @@ FROM metadata""",
         )
         + f"SELECT {_SCORED_LIST} FROM scored",
         "stream_daily_activity": f"{on_daily}SELECT * FROM daily",
-        "csv_activity": f"{on_daily}SELECT * FROM daily",
+        "csv_activity": f"""{on_daily}SELECT * REPLACE (user_id + 9007199254740992 AS user_id,
+  files_accessed // 2 AS files_accessed) FROM daily WHERE files_accessed % 2 = 0""",
+        "csv_rejects": f"""{on_daily}SELECT user_id + 9007199254740992 AS user_id,
+  'files_accessed' AS reasons FROM daily WHERE files_accessed % 2 = 1""",
+        "model_inventory": f"""{on_daily}SELECT * FROM (VALUES ('iforest_meta', 1, NULL),
+  ('iforest_nodes', NULL, true), ('ocsvm_meta', 1, NULL), ('scaler', 18, NULL)) AS t(model_table, rows, in_bounds)
+UNION ALL SELECT 'ocsvm_landmarks', least(256, count(DISTINCT user_id)), NULL FROM daily""",
         "user_breakdown": f"""{on_scored}SELECT user_id, factor, contribution_pct FROM ({_breakdown()})
 WHERE user_id = (SELECT min(user_id) FROM scored)""",
         "batch_clock": f"""{on_metadata}, stamps AS (

@@ -1,11 +1,19 @@
 import dataclasses
+import shutil
 
 import numpy as np
 import pytest
 
 from riskloom.models import autoencoder, isolation_forest, one_class_svm
 from riskloom.models.arrays import sharded, sum_over_shards
-from riskloom.models.ensemble import fit_models, load_models, save_models, score_raw, score_scaled
+from riskloom.models.ensemble import (
+    fit_models,
+    inventory,
+    load_models,
+    save_models,
+    score_raw,
+    score_scaled,
+)
 from riskloom.operators.features import user_features
 from riskloom.params import AutoencoderParams, ForestParams, RiskParams, SvmParams
 from riskloom.plans.pipeline import run_batch, score_requests
@@ -194,6 +202,28 @@ def test_absent_models_score_zero(spark, planted, fitted, tmp_path):
     assert row["svm_score"] == row["ae_score"] == 0.0 and row["if_score"] > 0
 
 
+def test_mixed_and_partial_sets_are_refused(spark, fitted, tmp_path):
+    one, other = str(tmp_path / "one"), str(tmp_path / "other")
+    save_models(spark, fitted[0], one)
+    assert sorted(r["table"] for r in inventory(spark, one).collect()) == sorted(
+        ["scaler", "iforest_nodes", "iforest_meta", "ocsvm_landmarks", "ocsvm_meta", "autoencoder"]
+    )
+    forest = dataclasses.replace(fitted[0].forest, offset=fitted[0].forest.offset + 1)
+    save_models(spark, dataclasses.replace(fitted[0], forest=forest, autoencoder=None), other)
+    assert not (tmp_path / "other" / "autoencoder").exists()
+    shutil.rmtree(tmp_path / "one" / "iforest_meta")
+    with pytest.raises(ValueError, match="iforest_meta"):
+        load_models(spark, one)
+    shutil.copytree(tmp_path / "other" / "iforest_meta", tmp_path / "one" / "iforest_meta")
+    with pytest.raises(ValueError, match="iforest_meta"):  # the forest of one, the offset of the other
+        load_models(spark, one)
+    shutil.rmtree(tmp_path / "one" / "manifest")  # a save that broke off
+    with pytest.raises(FileNotFoundError):
+        load_models(spark, one)
+    save_models(spark, fitted[0], one)
+    assert load_models(spark, one).forest.offset == fitted[0].forest.offset
+
+
 def test_batch_and_stream_modes(planted, fitted):
     features = user_features(planted)
     batch = {r["user_id"]: r for r in score_raw(features, fitted[0], "batch").collect()}
