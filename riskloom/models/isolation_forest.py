@@ -2,12 +2,17 @@
 
 Each tree sees about ``max_samples`` users, so the fit moves trees x samples
 rows whatever the size of the table, and builds the trees in parallel.
+
+All chance comes from MD5 digests of seed, tree and user or node, so the same forest
+grows in any engine and on any number of tasks.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Callable
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -20,6 +25,9 @@ NODE_SCHEMA = (
     "tree int, node int, feature int, threshold double, left int, right int, size int, depth int"
 )
 _EULER = 0.5772156649
+_DIGITS = 13  # hexadecimal digits of a uniform number; doubles hold them exactly
+#: Decimals by which values of a feature differ; smaller differences are rounding errors.
+DECIMALS = 9
 
 
 def mean_path(size: np.ndarray | int) -> np.ndarray:
@@ -43,8 +51,9 @@ def sample_for_trees(scaled: DataFrame, users: int, params: RiskParams) -> DataF
     p = min(1.0, (psi + 4.0 * math.sqrt(psi)) / users)
     block = max(1, min(trees, int(1.0 / p)))
     blocks = -(-trees // block)
-    hashed = F.xxhash64(F.lit(params.seed), F.col("user_id"), F.col("_block"))
-    uniform = F.shiftrightunsigned(hashed, 11) * F.lit(2.0**-53)
+    digest = F.md5(F.concat_ws(":", F.lit(str(params.seed)), "user_id", "_block"))
+    number = F.conv(F.substring(digest, 1, _DIGITS), 16, 10).cast("long")
+    uniform = number * F.lit(2.0 ** (-4 * _DIGITS))
     return (
         scaled.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
         .withColumn("_draw", uniform / p)
@@ -56,30 +65,45 @@ def sample_for_trees(scaled: DataFrame, users: int, params: RiskParams) -> DataF
     )
 
 
-def grow(data: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tuple]:
-    """Nodes (node, feature, threshold, left, right, size, depth); leaves have feature -1."""
+def draws(seed: int, tree: int, path: str) -> tuple[float, float]:
+    """Two uniform numbers for the node that is reached by ``path``, 0 to the left, 1 to the right."""
+    digest = hashlib.md5(f"{seed}:{tree}:{path}".encode()).hexdigest()
+    digits = digest[:_DIGITS], digest[_DIGITS : 2 * _DIGITS]
+    first, second = (int(d, 16) * 2.0 ** (-4 * _DIGITS) for d in digits)
+    return first, second
+
+
+def grow(
+    data: np.ndarray, draw: Callable[[str], tuple[float, float]], max_depth: int
+) -> list[tuple]:
+    """Nodes (node, feature, threshold, left, right, size, depth); leaves have feature -1.
+
+    Nodes are numbered in the order of their paths. ``draw`` gives a path's feature, among
+    those that differ in the node, and the place of the cut in the feature's range.
+    """
     nodes: list[list] = []
-    todo = [(np.arange(len(data)), 0, -1, 0)]
+    todo = [(np.arange(len(data)), "", -1)]
     while todo:
-        rows, depth, parent, side = todo.pop()
+        rows, path, parent = todo.pop()
         me = len(nodes)
         if parent >= 0:
-            nodes[parent][3 + side] = me
-        node = [me, -1, 0.0, -1, -1, len(rows), depth]
+            nodes[parent][3 + int(path[-1])] = me
+        node = [me, -1, 0.0, -1, -1, len(rows), len(path)]
         nodes.append(node)
-        if depth >= max_depth or len(rows) < 2:
+        if len(path) >= max_depth or len(rows) < 2:
             continue
         part = data[rows]
         low, high = part.min(axis=0), part.max(axis=0)
         usable = np.flatnonzero(low < high)
         if not len(usable):
             continue
-        feature = int(rng.choice(usable))
-        cut = float(rng.uniform(low[feature], high[feature]))
+        which, where = draw(path)
+        feature = int(usable[int(which * len(usable))])
+        cut = float(low[feature] + where * (high[feature] - low[feature]))
         goes_left = part[:, feature] <= cut
         node[1], node[2] = feature, cut
-        todo.append((rows[~goes_left], depth + 1, me, 1))
-        todo.append((rows[goes_left], depth + 1, me, 0))
+        todo.append((rows[~goes_left], path + "1", me))
+        todo.append((rows[goes_left], path + "0", me))
     return [tuple(n) for n in nodes]
 
 
@@ -92,15 +116,16 @@ def fit(scaled: DataFrame, columns: list[str], users: int, params: RiskParams) -
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         tree = int(rows["tree"].iloc[0])
         chosen = rows.nsmallest(psi, ["order", "user_id"]).sort_values("user_id")
-        rng = np.random.default_rng([seed, tree])
-        nodes = grow(chosen[columns].to_numpy(float), rng, max_depth)
+        draw = partial(draws, seed, tree)
+        nodes = grow(chosen[columns].to_numpy(float), draw, max_depth)
         out = pd.DataFrame(
             nodes, columns=["node", "feature", "threshold", "left", "right", "size", "depth"]
         )
         out.insert(0, "tree", tree)
         return out
 
-    sampled = sample_for_trees(scaled.select("user_id", *columns), users, params)
+    known = scaled.select("user_id", *(F.round(c, DECIMALS).alias(c) for c in columns))
+    sampled = sample_for_trees(known, users, params)
     # Few bytes but much work per tree: fixed partitions keep the trees spread out.
     parallel = min(params.forest.trees, max(8, scaled.sparkSession.sparkContext.defaultParallelism))
     return sampled.repartition(parallel, "tree").groupBy("tree").applyInPandas(build, NODE_SCHEMA)

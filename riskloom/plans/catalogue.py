@@ -353,17 +353,19 @@ def upsert_scores(spark, sf_dir):
 @_register
 def iforest_nodes(spark, sf_dir):
     models, _ = _fitted(spark, sf_dir, "forest")
-    return spark.createDataFrame(models.forest.nodes, NODE_SCHEMA)
+    return rounded(spark.createDataFrame(models.forest.nodes, NODE_SCHEMA))
 
 
 @_register
 def iforest_scores(spark, sf_dir):
     models, scaled = _fitted(spark, sf_dir, "forest")
     scored = score_scaled(scaled, models)
-    return scored.select(
-        "user_id",
-        (-F.col("if_score")).alias("score_samples"),
-        (-F.col("if_score") - models.forest.offset).alias("decision"),
+    return rounded(
+        scored.select(
+            "user_id",
+            (-F.col("if_score")).alias("score_samples"),
+            (-F.col("if_score") - models.forest.offset).alias("decision"),
+        )
     )
 
 

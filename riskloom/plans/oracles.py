@@ -3,7 +3,7 @@ aggregates joined back together, and every batch re-normalised on its own."""
 
 from __future__ import annotations
 
-from riskloom.plans.catalogue import EARLIER_DAY
+from riskloom.plans.catalogue import EARLIER_DAY, PARAMS
 from riskloom.schemas import FEATURE_COLS, PROFILE_AXES
 
 _DAILY = """daily AS (
@@ -77,6 +77,77 @@ def _scored(raw: str = "raw", out: str = "scored") -> str:
         CROSS JOIN (SELECT min(risk_score_raw) AS mn, max(risk_score_raw) AS mx FROM {raw})))"""
 
 
+def _forest(features: str = "feat", depth: int = 8) -> str:
+    """The isolation forest, one level of all trees after the other: 2^depth samples at most."""
+    seed, trees, most = PARAMS.seed, PARAMS.forest.trees, PARAMS.forest.max_samples
+    scaled = ", ".join(
+        f"({c} - avg({c}) OVER ()) / coalesce(nullif(stddev_pop({c}) OVER (), 0), 1) AS {c}"
+        for c in FEATURE_COLS
+    )
+    number = lambda digest, at: f"CAST('0x' || substr({digest}, {at}, 13) AS BIGINT) / 4503599627370496.0::DOUBLE"
+    lists = ", ".join(f"[{i}, {c}]" for i, c in enumerate(FEATURE_COLS))
+    parts = [
+        f"scaled AS MATERIALIZED (SELECT user_id, {scaled} FROM {features})",
+        f"""cells AS MATERIALIZED (SELECT user_id, CAST(pair[1] AS INTEGER) AS f, pair[2] AS x, round(pair[2], 9) AS v
+  FROM (SELECT user_id, unnest([{lists}]) AS pair FROM scaled))""",
+        f"""facts AS (SELECT *, greatest(1, least({trees}, CAST(floor(1 / p) AS BIGINT))) AS block
+  FROM (SELECT *, least(1.0::DOUBLE, (psi + 4 * sqrt(psi)) / n) AS p, ceil(log2(greatest(psi, 2))) AS deepest
+    FROM (SELECT count(*) AS n, least({most}, count(*)) AS psi FROM scaled)))""",
+        f"""drawn AS (SELECT user_id, b, {number(f"md5('{seed}:' || user_id || ':' || b)", 1)} / p AS draw, block, psi
+  FROM scaled, facts, range({trees}) AS blocks(b) WHERE b * block < {trees}),
+sampled AS (SELECT CAST(b * block + floor(draw) AS INTEGER) AS tree, user_id, psi, draw - floor(draw) AS place
+  FROM drawn WHERE draw < block AND b * block + floor(draw) < {trees}),
+rows_0 AS MATERIALIZED (SELECT tree, user_id, '' AS path FROM sampled
+  QUALIFY row_number() OVER (PARTITION BY tree ORDER BY place, user_id) <= psi)""",
+    ]
+    for d in range(depth + 1):
+        digest = f"md5('{seed}:' || tree || ':' || path)"
+        parts.append(
+            f"""ranges_{d} AS (SELECT tree, path, f, min(v) AS low, max(v) AS high,
+    row_number() OVER (PARTITION BY tree, path ORDER BY f) - 1 AS place, count(*) OVER (PARTITION BY tree, path) AS usable
+  FROM rows_{d} JOIN cells USING (user_id) CROSS JOIN facts WHERE {d} < deepest
+  GROUP BY tree, path, f HAVING min(v) < max(v)),
+cuts_{d} AS MATERIALIZED (SELECT tree, path, f, low + {number(digest, 14)} * (high - low) AS cut
+  FROM ranges_{d} WHERE place = floor({number(digest, 1)} * usable)),
+rows_{d + 1} AS MATERIALIZED (SELECT tree, user_id, path || CASE WHEN v <= cut THEN '0' ELSE '1' END AS path
+  FROM rows_{d} JOIN cuts_{d} USING (tree, path) JOIN cells USING (user_id, f))"""
+        )
+    cuts = " UNION ALL ".join(f"SELECT * FROM cuts_{d}" for d in range(depth + 1))
+    rows = " UNION ALL ".join(f"SELECT * FROM rows_{d}" for d in range(depth + 2))
+    parts.append(
+        f"""cuts AS MATERIALIZED ({cuts}),
+numbered AS MATERIALIZED (SELECT tree, path, n, f, cut, row_number() OVER (PARTITION BY tree ORDER BY path) - 1 AS node
+  FROM (SELECT tree, path, count(*) AS n FROM ({rows}) GROUP BY tree, path) LEFT JOIN cuts USING (tree, path)),
+nodes AS (SELECT a.tree, CAST(a.node AS INTEGER) AS node, coalesce(a.f, -1) AS feature, coalesce(a.cut, 0) AS threshold,
+    CAST(coalesce(l.node, -1) AS INTEGER) AS "left", CAST(coalesce(r.node, -1) AS INTEGER) AS "right",
+    CAST(a.n AS INTEGER) AS size, CAST(length(a.path) AS INTEGER) AS depth
+  FROM numbered a LEFT JOIN numbered l ON l.tree = a.tree AND l.path = a.path || '0'
+  LEFT JOIN numbered r ON r.tree = a.tree AND r.path = a.path || '1')"""
+    )
+    return ",\n".join(parts)
+
+
+def _forest_scores(depth: int = 8) -> str:
+    """Every user's way down every tree; the border is a quantile over all users."""
+    path = lambda n: f"CASE WHEN {n} > 2 THEN 2 * (ln({n} - 1) + 0.5772156649) - 2 * ({n} - 1) / {n} WHEN {n} = 2 THEN 1 ELSE 0 END"
+    parts = [
+        f"at_0 AS (SELECT tree, user_id, '' AS path FROM range({PARAMS.forest.trees}) AS t(tree), scaled)"
+    ]
+    for d in range(depth + 1):
+        parts.append(
+            f"""at_{d + 1} AS MATERIALIZED (SELECT a.tree, a.user_id, CASE WHEN c.f IS NULL THEN a.path
+    WHEN x <= cut THEN a.path || '0' ELSE a.path || '1' END AS path
+  FROM at_{d} a LEFT JOIN cuts c ON c.tree = a.tree AND c.path = a.path
+  LEFT JOIN cells v ON v.user_id = a.user_id AND v.f = c.f)"""
+        )
+    parts.append(
+        f"""lengths AS (SELECT user_id, avg(length(path) + {path("n")}) AS way
+  FROM at_{depth + 1} JOIN numbered USING (tree, path) GROUP BY user_id),
+scores AS (SELECT user_id, -pow(2, -way / greatest({path("psi")}, 1e-12)) AS s FROM lengths, facts)"""
+    )
+    return ",\n".join(parts)
+
+
 def _r(column: str) -> str:
     value = f"round({column}, 6)"
     return f"CASE WHEN {value} = 0 THEN 0.0::DOUBLE ELSE {value} END AS {column}"
@@ -256,6 +327,11 @@ FROM metadata""",
         "stream_daily_activity": f"{on_daily}SELECT * FROM daily",
         "csv_activity": f"""{on_daily}SELECT * REPLACE (user_id + 9007199254740992 AS user_id,
   files_accessed // 2 AS files_accessed) FROM daily WHERE files_accessed % 2 = 0""",
+        "iforest_nodes": f"""{_with(daily, feat, _forest())}SELECT tree, node, feature, {_r("threshold")},
+  "left", "right", size, depth FROM nodes""",
+        "iforest_scores": f"""{_with(daily, feat, _forest(), _forest_scores())}SELECT user_id,
+  {_r("score_samples")}, {_r("decision")}
+FROM (SELECT user_id, s AS score_samples, s - quantile_cont(s, {PARAMS.forest.contamination}) OVER () AS decision FROM scores)""",
         "csv_rejects": f"""{on_daily}SELECT user_id + 9007199254740992 AS user_id,
   'files_accessed' AS reasons FROM daily WHERE files_accessed % 2 = 1""",
         "model_inventory": f"""{on_daily}SELECT * FROM (VALUES ('iforest_meta', 1, NULL),
