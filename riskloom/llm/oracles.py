@@ -98,19 +98,23 @@ def decontamination_sql(docs: str, columns: str, tail: str = "") -> str:
 
 
 def license_sql() -> str:
-    from riskloom.llm.license_scan import NOTICES, PHRASES
+    """Every window of words is held against every notice that its whole text could hold."""
+    from riskloom.llm.license_scan import NOTICES, PHRASES, TELLING
 
     word = "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'"
     phrases = " UNION ALL ".join(
         f"SELECT '{label}' AS label, {phrase.split()} AS w" for phrase, label in PHRASES
     )
+    telling = lambda words: [w for w in TELLING if w in words] or "CAST([] AS VARCHAR[])"
     notices = " UNION ALL ".join(
-        f"SELECT '{label}' AS label, list_distinct({notice.split()}) AS w" for label, notice in NOTICES
+        f"SELECT '{label}' AS label, list_distinct({notice.split()}) AS w, "
+        f"{telling(notice.split())} AS told, {-(-3 * len(notice.split()) // 2)} AS size"
+        for label, notice in NOTICES
     )
     return f"""
     WITH phrases AS ({phrases}), notices AS ({notices}),
     worded AS (
-      SELECT *, row_number() OVER () AS row_no, string_split(coalesce(text, ''), chr(10)) AS parts,
+      SELECT *, row_number() OVER () AS row_no,
         regexp_extract_all({lower_ascii("coalesce(text, '')")}, {word}) AS words FROM documents),
     places AS (
       SELECT row_no, label, i - 1 AS place
@@ -120,14 +124,15 @@ def license_sql() -> str:
     based AS (
       SELECT row_no, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
         string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM places GROUP BY row_no),
+    likely AS (
+      SELECT row_no, label, w, told, size, words FROM worded, notices
+      WHERE list_has_all(words, told) AND 100 * len(list_intersect(w, words)) >= 80 * len(w)),
     blocks AS (
-      SELECT row_no, regexp_extract_all({lower_ascii("array_to_string(list_slice(parts, i, i + 1), chr(10))")}, {word}) AS block
-      FROM (SELECT row_no, parts, unnest(range(1, len(parts) + 1)) AS i FROM worded)),
-    shares AS (
-      SELECT row_no, label, len(list_intersect(w, block)) AS common, len(w) AS size FROM blocks, notices),
+      SELECT row_no, label, w, told, list_slice(words, i, i + size - 1) AS block
+      FROM (SELECT *, unnest(range(1, len(words) + 1)) AS i FROM likely)),
     noticed AS (
-      SELECT row_no, label, max(common / size) AS share FROM shares
-      WHERE 100 * common >= 80 * size GROUP BY 1, 2),
+      SELECT row_no, label, max(len(list_intersect(w, block)) / len(w)) AS share FROM blocks
+      WHERE list_has_all(block, told) AND 100 * len(list_intersect(w, block)) >= 80 * len(w) GROUP BY 1, 2),
     labelled AS (
       SELECT row_no, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
       FROM (SELECT row_no, label FROM noticed UNION SELECT row_no, label FROM places) GROUP BY row_no),
@@ -176,13 +181,17 @@ def quality_sql(docs: str, columns: str, tail: str = "") -> str:
     from riskloom.llm.quality import FURNITURE
 
     word = "'[^\\x20\\x09-\\x0D]+'"
-    furniture = " OR ".join(f"contains({lower_ascii('x')}, '{p}')" for p in FURNITURE)
+    small = lower_ascii("x")
+    named = " OR ".join(f"contains({small}, '{p}')" for p in FURNITURE)
+    phrases = f"(length(x) - length(regexp_replace({small}, '{'|'.join(FURNITURE)}', '', 'g')))"
+    n_words, whole = f"len(regexp_extract_all(x, {word}))", f"length(trim(x, {BLANKS}))"
     solid = "regexp_replace(x, '[\\x20\\x09-\\x0D]+', '', 'g')"
-    marks = f"(length({solid}) - length(translate({solid}, '#*$%&<>{{}}~^=!?', '')))"
+    marks = """(length(x) - length(translate(x, '#*$%&<>{}~^=', ''))
+      + length(x) - length(regexp_replace(x, '[!?]{2,}', '', 'g')))"""
     separators = "(length(x) - length(translate(x, '|»·•', '')))"
-    failing = f"""({marks} > length({solid}) * 0.15
-      OR ({separators} >= 3 AND {separators} > len(regexp_extract_all(x, {word})) * 0.25)
-      OR {furniture})"""
+    failing = f"""(({marks} > 0 AND {marks} > length({solid}) * 0.15)
+      OR ({separators} >= 3 AND {separators} > {n_words} * 0.25)
+      OR (({named}) AND ({n_words} <= 8 OR {phrases} > {whole} * 0.3)))"""
     return f"""
     WITH numbered AS (SELECT *, row_number() OVER () AS row_no FROM {docs}),
     shaped AS (
