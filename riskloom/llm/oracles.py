@@ -166,13 +166,25 @@ def source_mixing_sql(docs: str, columns: str, tail: str = "") -> str:
     queued AS (
       SELECT *, CAST(coalesce(sum(size) OVER (PARTITION BY source ORDER BY place, doc_id NULLS FIRST, size
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS ahead FROM sized),
-    served AS (
-      SELECT q.*, t.source_size, t.target, CAST(
-          greatest(0, least(size, floor(target) - ahead))
-        + greatest(0, least(size, floor(target) - source_size - ahead))
-        + greatest(0, least(size, floor(target) - 2 * source_size - ahead)) AS BIGINT) AS taken,
+    timed AS (
+      SELECT q.*, t.source_size, t.target, row_number() OVER () AS row_no,
         CASE WHEN target > 0 THEN (ahead + size) / target END AS finish
-      FROM queued q JOIN targets t ON q.source IS NOT DISTINCT FROM t.source)
+      FROM queued q JOIN targets t ON q.source IS NOT DISTINCT FROM t.source),
+    turns AS (
+      SELECT row_no, source, target, size, ahead + lap * source_size AS start,
+        CAST(ceil(size / 1024) AS BIGINT) AS piece
+      FROM timed, range(3) AS laps(lap) WHERE size > 0 AND ahead + lap * source_size < target),
+    servings AS (
+      SELECT row_no, source, (start + size) / target AS done, size AS words FROM turns WHERE start + size <= target
+      UNION ALL
+      SELECT row_no, source, (start + least(size, k * piece)) / target, least(size, k * piece) - least(size, (k - 1) * piece)
+      FROM (SELECT *, unnest(range(1, CAST(ceil(size / piece) AS BIGINT) + 1)) AS k FROM turns WHERE start + size > target)),
+    ordered AS (
+      SELECT row_no, words, (SELECT sum(size) FROM sized) - coalesce(sum(words) OVER (ORDER BY done, source NULLS LAST
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS left_over FROM servings),
+    took AS (
+      SELECT row_no, CAST(sum(greatest(0, least(words, left_over))) AS BIGINT) AS taken FROM ordered GROUP BY row_no),
+    served AS (SELECT * REPLACE (coalesce(taken, 0) AS taken) FROM timed LEFT JOIN took USING (row_no))
     SELECT {columns} FROM served {tail}
     """
 

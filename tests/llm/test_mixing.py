@@ -1,3 +1,5 @@
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,7 +19,12 @@ def check(df, rows):
         own = [r for r in out if r["source"] == source]
         assert {r["source_size"] for r in own} == {sizes[source]}
         assert all(r["target"] == pytest.approx(target) for r in own)
-        assert 0 <= target - sum(r["taken"] for r in own) < 1 + 1e-6
+        piece = -(-max(r["size"] for r in own) // 1024)
+        assert abs(target - sum(r["taken"] for r in own)) <= piece + 1
+    assert sum(r["taken"] for r in out) == sum(sizes.values())  # the whole budget
+    for r in out:
+        assert sum(s["words"] for s in r["served"]) == r["taken"]
+        assert not r["served"] or r["served"][0]["finish"] <= r["finish"]
     assert all(0 <= r["taken"] <= 3 * r["size"] for r in out)
     return out
 
@@ -40,10 +47,42 @@ def test_one_hot_source(documents_of):
     check(documents_of(rows), rows)
 
 
-def test_order_is_by_finish_time(edge):
-    out = mix_order(mix_sources(edge)).collect()
-    finish = [r["finish"] for r in out]
-    assert finish == sorted(finish) and all(r["taken"] > 0 for r in out)
+def plain_mix(rows, laps=3, pieces=1024):
+    """Fair queueing one serving after the other: (finish, source, id, words) up to the budget."""
+    key = lambda i: hashlib.md5(("" if i is None else str(i)).encode()).hexdigest()
+    sized = [(s, key(i), i, len(brute.blanks(t))) for i, t, s in rows]
+    sizes = {}
+    for s, _, _, n in sized:
+        sizes[s] = sizes.get(s, 0) + n
+    targets, queue = brute.targets(sizes), []
+    for source, target in targets.items():
+        at = 0
+        for _ in range(laps):
+            for _, _, i, n in sorted((x for x in sized if x[0] == source), key=lambda x: x[1]):
+                step = n if at + n <= target else -(-n // pieces)
+                for done in range(step, n + step, step) if n and at < target else ():
+                    words = min(done, n) - (done - step)
+                    queue.append(((at + min(done, n)) / target, source is None, source or "", i, words))
+                at += n
+    left, out = sum(sizes.values()), []
+    for finish, _, source, i, words in sorted(queue, key=lambda x: x[:3]):
+        if left > 0:
+            out.append((finish, source, i, min(words, left)))
+            left -= words
+    return out
+
+
+def test_order_equals_plain_fair_queueing(documents_of):
+    words = lambda n: " ".join(["w"] * n)
+    rows = [(i, words(i * 7 % 23), s) for i, s in enumerate("aaaaaaabbcdddddddddd" * 3)]
+    rows += [(100, words(1500), "b"), (101, words(2100), None), (102, words(4), "e"), (103, None, "e")]
+    out = mix_order(mix_sources(documents_of(rows))).collect()
+    got = [(r["served_at"], r["source"] or "", r["doc_id"], r["words"]) for r in out]
+    assert sorted(got) == sorted(plain_mix(rows))
+    times = [r["served_at"] for r in out]
+    assert times == sorted(times)
+    again = [i for _, source, i, _ in got if source == "e"]
+    assert again.count(102) == 3  # a document that is taken three times is listed three times
 
 
 def test_no_rows_and_no_words(edge, documents_of):
