@@ -68,7 +68,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the mix takes, with the words taken and the virtual finish time."""
-    return mix_sources(docs.select(COLUMNS)).where("taken > 0")
+    return mix_sources(docs.select(COLUMNS)).where("taken > 0").drop("served")
 
 
 STAGES = [
