@@ -9,6 +9,8 @@ from riskloom.llm.oracles import oracles
 from riskloom.llm.queries import queries
 
 SF = "/root/testdata/sf0.001"
+#: Queries with rows of their own; their SQL says how many.
+PAIRS = ("op12_hard_negatives", "op13_source_divergence")
 
 
 @pytest.fixture(scope="module")
@@ -30,7 +32,7 @@ def test_query(spark, con, name):
     got = df.collect()
     if name == "op10_chat_format":
         assert len(got) == con.execute("SELECT count(DISTINCT conv_id) + 1 FROM conversations").fetchone()[0]
-    else:
+    elif name not in PAIRS:
         assert len(got) == con.execute("SELECT count(*) FROM documents").fetchone()[0]
     if name in oracles():
         result = con.execute(oracles()[name])
@@ -61,4 +63,4 @@ def test_stages_take_rows_with_nulls_and_no_rows(spark):
 def test_registered():
     found = entry_point.queries()
     assert {"pipeline", *queries()} <= found.keys()
-    assert sorted(int(n[2:].split("_")[0]) for n in queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries()) == list(range(1, 14))
