@@ -38,6 +38,7 @@ from riskloom.sources.tables import (
 )
 from riskloom.streaming.daily import rolled_up, start_roll_up
 from riskloom.streaming.job import RiskStream, replay_source
+from riskloom.streaming.status import LiveStatus
 
 PARAMS = RiskParams()
 #: Micro-batches of the replayed streams.
@@ -467,8 +468,8 @@ def model_facts(spark, sf_dir):
 # Streams --------------------------------------------------------------------
 
 
-def _replayed(spark: SparkSession, sf_dir: str, models: Models | None = None) -> RiskStream:
-    """Run a stream over the whole activity log, split by user into a few parts, in order.
+def _replay(spark: SparkSession, sf_dir: str, models: Models | None = None):
+    """A stream and the whole activity log as its source, split by user into parts in order.
 
     Every part has the same number of files, which is a micro-batch; more with more rows.
     """
@@ -485,7 +486,12 @@ def _replayed(spark: SparkSession, sf_dir: str, models: Models | None = None) ->
     job = RiskStream(
         spark, new_path(spark, "stream"), PARAMS, models, total_batches=REPLAY_PARTS
     )
-    job.start(replay_source(spark, source, files), available_now=True).awaitTermination()
+    return job, replay_source(spark, source, files)
+
+
+def _replayed(spark: SparkSession, sf_dir: str, models: Models | None = None) -> RiskStream:
+    job, source = _replay(spark, sf_dir, models)
+    job.start(source, available_now=True).awaitTermination()
     return job
 
 
@@ -510,6 +516,21 @@ def stream_metadata(spark, sf_dir):
     return _replayed(spark, sf_dir).metadata().drop("timestamp")
 
 
+@_register
+def stream_status(spark, sf_dir):
+    """What a listener saw of the replay while it ran."""
+    job, source = _replay(spark, sf_dir)
+    status = LiveStatus(job)
+    spark.streams.addListener(status)
+    try:
+        job.start(source, available_now=True).awaitTermination()
+        if not status.wait(120):
+            raise TimeoutError("the stream ended without its last report")
+    finally:
+        spark.streams.removeListener(status)
+    return rounded(status.table().drop("updated"))
+
+
 @_register
 def stream_daily_activity(spark, sf_dir):
     """The activity log from the event stream, up to the end of its input."""

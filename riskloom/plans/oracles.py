@@ -350,6 +350,11 @@ SELECT batch_num,
 FROM metadata JOIN stamps USING (batch_num)""",
         "stream_metadata": f"""{_with(daily, raw, _REPLAY, _METADATA)}SELECT batch_num, total_batches,
   users_in_batch, total_users_processed, high_risk_count, critical_risk_count FROM metadata""",
+        "stream_status": f"""{_with(daily, _REPLAY)}SELECT batch_num, total_batches,
+  count(*) AS rows_in_batch, CAST(users_in_batch AS BIGINT) AS users_in_batch,
+  CAST(total_users_processed AS BIGINT) AS users_so_far,
+  round(batch_num / total_batches, 6) AS progress
+FROM daily JOIN batches USING (user_id) GROUP BY ALL""",
         "model_facts": f"""{on_features}, z AS (SELECT {zscores} FROM feat),
 entries AS (SELECT unnest([{", ".join(f"z_{c}" for c in FEATURE_COLS)}]) AS v FROM z)
 SELECT count(*) AS users, CAST(floor(0.05 * (count(*) - 1)) + 1 AS BIGINT) AS below_offset,

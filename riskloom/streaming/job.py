@@ -44,6 +44,7 @@ from riskloom.sources.ship import ship_package
 from riskloom.streaming.batch_log import BatchLog
 from riskloom.streaming.levels import RAWS_SCHEMA, counted, level_counts, multiset
 from riskloom.streaming.state import CHANGED_SCHEMA, changed_users
+from riskloom.streaming.status import rows_observed, users_observed
 
 # Column names of the batch metadata.
 METADATA_COLS = [
@@ -218,8 +219,9 @@ class RiskStream:
         choice of a state store stays as it is.
         """
         ship_package(self.spark)
+        changed = changed_users(rows_observed(source, self.folder))
         writer = (
-            changed_users(source)
+            users_observed(changed, self.folder)
             .writeStream.outputMode("update")
             .foreachBatch(self.process)
             .option("checkpointLocation", f"{self.folder}/checkpoint")

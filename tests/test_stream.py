@@ -14,6 +14,7 @@ from riskloom.streaming.batch_log import BatchLog
 from riskloom.streaming.daily import daily_activity_stream, rolled_up, start_roll_up
 from riskloom.streaming.job import METADATA_COLS, RiskStream, replay_source
 from riskloom.streaming.levels import counted, level_counts, multiset
+from riskloom.streaming.status import LiveStatus
 
 P = RiskParams()
 
@@ -98,6 +99,50 @@ def test_order_and_replay_do_not_matter(spark, planted, parts, tmp_path, lost):
     assert times == sorted(times)
 
 
+def watched(spark, part, folder, keep=1000):
+    job = RiskStream(spark, folder, P, total_batches=3)
+    status = LiveStatus(job, keep)
+    spark.streams.addListener(status)
+    try:
+        feed(spark, part, folder, job=job)
+        assert status.wait(60)
+    finally:
+        spark.streams.removeListener(status)
+    return status.table().collect()
+
+
+def test_live_status_goes_on_after_a_restart_and_a_replay(spark, planted, parts, tmp_path):
+    folder = tmp_path / "out"
+    sizes = [p.count() for p in parts]
+    seen = [r for p in parts[:2] for r in watched(spark, p, str(folder))]
+    forget(folder, "checkpoint/commits")  # batch 1 is committed by the job, not by Spark
+    seen += watched(spark, parts[2], str(folder))
+    assert [(r["batch_num"], r["rows_in_batch"], r["users_in_batch"], r["users_so_far"]) for r in seen] == [
+        (1, sizes[0], 60, 60),
+        (2, sizes[1], 60, 120),
+        (2, sizes[1], 60, 120),
+        (3, sizes[2], 60, 120),
+    ]
+    assert [round(r["progress"], 3) for r in seen] == [0.333, 0.667, 0.667, 1.0]
+    times = [r["updated"] for r in seen]
+    assert times == sorted(times)
+    meta = RiskStream(spark, str(folder), P).metadata().orderBy("batch_num").collect()
+    assert [r["total_users_processed"] for r in meta] == [60, 120, 120]
+
+
+def test_live_status_keeps_the_newest_batches(spark, parts, tmp_path):
+    folder = str(tmp_path / "out")
+    for part in parts[:2]:
+        part.coalesce(1).write.mode("append").parquet(f"{folder}-in")
+    (row,) = watched(spark, parts[2], folder, keep=1)
+    assert (row["batch_num"], row["users_so_far"]) == (3, 120)
+
+
+def test_live_status_without_batches(spark, parts, tmp_path):
+    status = LiveStatus(RiskStream(spark, str(tmp_path / "none"), P))
+    assert status.table().count() == 0 and not status.wait(0)
+
+
 def test_nothing_scored_yet(spark, tmp_path):
     job = RiskStream(spark, str(tmp_path / "none"), P)
     assert job.current_scores() is None and job.metadata() is None and job.current_stats() is None
