@@ -22,7 +22,8 @@ class JaccardRule:
 
     ``spare`` tiles beyond the least number make shared empty tiles needless for
     nearly every set; ``growth`` is the ratio of a band's largest to smallest size.
-    ``brief_bits`` is the most bits of the bitmap that travels with every tile.
+    ``brief_bits`` is the most bits of the bitmap that travels with every tile. Members of
+    tiles with more than ``crowd`` of them are paired by rare n-grams instead of by tile.
     """
 
     words: int = 3
@@ -31,6 +32,7 @@ class JaccardRule:
     spare: int = 2
     brief_bits: int = 1024
     small_rows: int = 1_000_000
+    crowd: int = 32
 
     def most_different(self, sizes: int) -> int:
         """Largest symmetric difference of two linked sets whose sizes add up to ``sizes``."""
@@ -201,6 +203,66 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, rule: Jaccard
     )
 
 
+def rare_gram_pairs(docs: DataFrame, members: DataFrame, rule: JaccardRule) -> DataFrame:
+    """Pairs (u, v) of ``members`` that share one of their rarest n-grams, under the bounds.
+
+    ``members`` has ``node``, ``component``, ``n`` and ``brief``, a row per text. Two linked
+    sets hold ``percent`` of each other, so in any common order of n-grams their first
+    n - ceil(n * percent / 100) + 1 have one in common. The order here is by the number
+    of members that hold an n-gram: what a crowd shares comes last, and only sets that
+    consist of it almost wholly are paired through it.
+    """
+    texts = docs.join(
+        _sent_if_small(members.select(F.col("node").alias("doc_id")), rule),
+        "doc_id",
+        "left_semi",
+    )
+    sets = texts.select(F.col("doc_id").alias("node"), shingles(F.col("text"), rule.words).alias("set"))
+    # A node may have several texts, each with an order of its own n-grams.
+    grams = stage(
+        sets.select("node", F.xxhash64("set").alias("which"), F.explode("set").alias("gram")).distinct(),
+        "grams",
+    )
+    held = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("held"))
+    common = stage(held.where(F.col("held") > rule.crowd), "common")
+    # The n-grams that few members hold are alike in the order.
+    ordered = grams.join(_sent_if_small(common, rule), "gram", "left").select(
+        "node", "which", F.struct(F.coalesce("held", F.lit(0)).alias("held"), "gram").alias("g")
+    )
+    in_order = ordered.groupBy("node", "which").agg(F.sort_array(F.collect_list("g")).alias("set"))
+    size = F.size("set").cast("long")
+    shared = F.ceil(size * rule.percent / F.lit(100))  # with any set that links
+    rarest = F.slice("set", F.lit(1), (size - shared + 1).cast("int"))
+    first = in_order.select("node", F.explode(rarest).alias("g"))
+    shown = stage(
+        first.select("node", F.col("g.gram").alias("gram")).distinct().join(members, "node"),
+        "rare",
+    )
+    return _across(shown, "gram", rule)
+
+
+def _across(shown: DataFrame, key: str, rule: JaccardRule) -> DataFrame:
+    """Pairs of rows of different components that show the same key, under the bounds."""
+    other = shown.select(
+        key,
+        F.col("node").alias("v"),
+        F.col("component").alias("component2"),
+        F.col("n").alias("n2"),
+        F.col("brief").alias("brief2"),
+    )
+    return (
+        shown.withColumnRenamed("node", "u")
+        .join(other, key)
+        .where(
+            (F.col("component") < F.col("component2"))
+            & _sizes_fit(rule)
+            & _bits_fit(rule, "brief")
+        )
+        .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+        .distinct()
+    )
+
+
 def jaccard_components(docs: DataFrame, rule: JaccardRule | None = None) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` for every row of ``docs``.
 
@@ -220,8 +282,10 @@ def jaccard_components(docs: DataFrame, rule: JaccardRule | None = None) -> Data
        tiles with three nodes or more are listed at all.
     3. Pairs are bounded by bit counts, then settled by exact intersection.
     4. Tiles whose members are not in one component yet pair the members of
-       different components, under the same bounds inside the join. So no link is
-       lost, and a group of near copies is not expanded into all its pairs.
+       different components, under the same bounds inside the join; where a tile holds
+       more than ``rule.crowd``, its members are paired by their rarest n-grams
+       (``rare_gram_pairs``), as a passage that many unlike texts share would pair them
+       all. So no link is lost, and no group is expanded into all its pairs.
 
     Sets themselves are only built again for documents in pairs that pass the
     bounds. N-grams are compared by 64-bit hashes.
@@ -286,28 +350,19 @@ def jaccard_components(docs: DataFrame, rule: JaccardRule | None = None) -> Data
         .withColumn("component", F.coalesce("component", "node"))
     )
     split = labelled.groupBy("tile").agg(
-        F.min("component").alias("least"), F.max("component").alias("most")
+        F.min("component").alias("least"),
+        F.max("component").alias("most"),
+        F.count(F.lit(1)).alias("size"),
     )
-    open_tiles = split.where("least < most").select("tile")
+    open_tiles = split.where("least < most").select("tile", "size")
     loose = stage(
-        labelled.join(open_tiles, "tile", "left_semi").join(narrow.drop("bits"), "node"), "loose"
-    )
-    other = loose.select(
-        "tile",
-        F.col("node").alias("v"),
-        F.col("component").alias("component2"),
-        F.col("n").alias("n2"),
-        F.col("brief").alias("brief2"),
+        labelled.join(open_tiles, "tile").join(narrow.drop("bits"), "node"), "loose"
     )
+    few = loose.where(F.col("size") <= rule.crowd).drop("size")
+    many = loose.where(F.col("size") > rule.crowd).select("node", "component", "n", "brief")
     across = (
-        loose.withColumnRenamed("node", "u")
-        .join(other, "tile")
-        .where(
-            (F.col("component") < F.col("component2"))
-            & _sizes_fit(rule)
-            & _bits_fit(rule, "brief")
-        )
-        .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+        _across(few, "tile", rule)
+        .unionByName(rare_gram_pairs(docs, stage(many.distinct(), "many"), rule))
         .distinct()
         .join(stars, ["u", "v"], "left_anti")
     )

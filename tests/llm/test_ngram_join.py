@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.llm.components import connected_components
-from riskloom.llm.ngram_join import JaccardRule, jaccard_components, tile_keys
+from riskloom.llm.ngram_join import JaccardRule, bitmap, jaccard_components, rare_gram_pairs, tile_keys
 from tests.llm import brute
 from tests.llm.conftest import EDGE
 
@@ -42,6 +42,49 @@ def test_shuffled_fallback_gives_the_same(documents_of):
     assert {r["doc_id"]: r["component_id"] for r in out} == brute.components(rows)
 
 
+def shared_passage(seed, n, own, shared=120):
+    """Texts that share a long passage and are else unlike, some with a near copy."""
+    rng = random.Random(seed)
+    passage = [f"p{i}" for i in range(shared)]
+    rows = []
+    for i in range(n):
+        if i % 10 == 9:
+            words = rows[-1][1].split()
+            words[rng.randrange(len(words))] = "changed"
+        else:
+            words = passage + [f"w{rng.randrange(10**6)}" for _ in range(own)]
+        rows.append((1000 + i, " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("crowd,small_rows", [(1, 1_000_000), (8, 0), (32, 1_000_000)])
+def test_crowded_tiles_lose_no_link(documents_of, crowd, small_rows):
+    rule = JaccardRule(crowd=crowd, small_rows=small_rows)
+    rows = near_copies(21, 80, 3) + shared_passage(22, 120, 30)
+    # Rows of one id with unlike texts, in the middle of the crowd.
+    rows += [(1000, rows[-1][1] + " end"), (1001, rows[3][1])]
+    out = jaccard_components(documents_of(rows), rule).collect()
+    got = {(r["doc_id"], r["component_id"]) for r in out}
+    assert got == set(brute.components(rows).items())
+
+
+def test_a_shared_passage_does_not_pair_all_texts(documents_of, spark):
+    rule, counts = JaccardRule(), []
+    for n in (100, 400):
+        rows = shared_passage(23, n, 30)
+        sets = {i: brute.grams(brute.blanks(brute.low(t)), rule.words) for i, t in rows}
+        full = [-1] * len(bitmap(np.zeros(1, np.uint64)))
+        members = spark.createDataFrame(
+            [(i, i, len(s), full) for i, s in sets.items()],
+            "node long, component long, n long, brief array<long>",
+        )
+        found = {tuple(r) for r in rare_gram_pairs(documents_of(rows), members, rule).collect()}
+        linked = {(i, i + 1) for i in sets if i + 1 in sets and (i + 1) % 10 == 9}
+        assert linked <= found
+        counts.append(len(found))
+    assert counts[1] <= 6 * counts[0] <= 6 * 100
+
+
 def test_edge_rows(edge):
     out = jaccard_components(edge).collect()
     assert len(out) == len(EDGE)
