@@ -217,7 +217,11 @@ def rare_gram_pairs(docs: DataFrame, members: DataFrame, rule: JaccardRule) -> D
         "doc_id",
         "left_semi",
     )
-    sets = texts.select(F.col("doc_id").alias("node"), shingles(F.col("text"), rule.words).alias("set"))
+    # Written first: a filter that explode() implies would build the sets of all documents.
+    sets = stage(
+        texts.select(F.col("doc_id").alias("node"), shingles(F.col("text"), rule.words).alias("set")),
+        "crowd",
+    )
     # A node may have several texts, each with an order of its own n-grams.
     grams = stage(
         sets.select("node", F.xxhash64("set").alias("which"), F.explode("set").alias("gram")).distinct(),
