@@ -8,6 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskloom.llm.components import connected_components
@@ -67,17 +68,20 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def tile_keys(hashes: np.ndarray, rule: JaccardRule, edges: list[int]) -> np.ndarray:
-    """Keys of which two linked sets share at least one.
+def sure_tiles(hashes: np.ndarray, rule: JaccardRule, edges: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of tiles, and how many of them any linked set is sure to share.
 
     A band's tile count exceeds the symmetric difference of any two linked sets
     in it, and each differing element spoils one tile at most: some tile holds
     the same elements in both. A set shows itself in its own band and, if a
-    linked set may be in the next one, there too.
+    linked set may be in the next one, there too. The lowest bit of a key is that of
+    its band's number; the sure numbers stand by that bit, and no linked set shows
+    itself in a band where this one does not.
     """
     n = len(hashes)
+    sure = np.full(2, np.iinfo(np.int64).max)  # of no keys, any number is sure
     if not n:
-        return np.empty(0, np.int64)
+        return np.empty(0, np.int64), sure
     own = int(np.searchsorted(edges, n, "right")) - 1
     partner = n * 100 // rule.percent
     keys = []
@@ -91,8 +95,17 @@ def tile_keys(hashes: np.ndarray, rule: JaccardRule, edges: list[int]) -> np.nda
         spoiled = rule.most_different(n + min(partner, largest))
         shared_empty = tiles - spoiled <= tiles - filled.sum()
         place = np.arange(tiles, dtype=np.uint64) + (np.uint64(band) << np.uint64(40))
-        keys.append(_mixed(content ^ _mixed(place))[filled | shared_empty])
-    return np.concatenate(keys).view(np.int64)
+        key = _mixed(content ^ _mixed(place))[filled | shared_empty]
+        keys.append(key & ~np.uint64(1) | np.uint64(band & 1))
+        # A linked set need not show its empty tiles, so only filled ones are sure.
+        least = 1 if shared_empty else int(filled.sum()) - spoiled
+        sure[band & 1] = min(sure[band & 1], least)
+    return np.concatenate(keys).view(np.int64), sure
+
+
+def tile_keys(hashes: np.ndarray, rule: JaccardRule, edges: list[int]) -> np.ndarray:
+    """Keys of which two linked sets share at least one."""
+    return sure_tiles(hashes, rule, edges)[0]
 
 
 def bitmap(hashes: np.ndarray, most: int = 1 << 30) -> np.ndarray:
@@ -110,7 +123,7 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
 
 
 def _signed(sets: DataFrame, rule: JaccardRule) -> DataFrame:
-    """Replace the last column, ``set``, by ``bits``, ``brief`` and ``tiles``."""
+    """Replace the last column, ``set``, by ``bits``, ``brief``, ``tiles`` and ``sure``."""
     edges = rule.bands()
     names = sets.columns[:-1]
 
@@ -124,14 +137,14 @@ def _signed(sets: DataFrame, rule: JaccardRule) -> DataFrame:
             each = [hashes[a:b] for a, b in zip(ends, ends[1:])]
             bits = _lists([bitmap(x) for x in each])
             brief = _lists([bitmap(x, rule.brief_bits) for x in each])
-            tiles = _lists([tile_keys(x, rule, edges) for x in each])
+            tiles, sure = map(_lists, zip(*(sure_tiles(x, rule, edges) for x in each)))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], bits, brief, tiles],
-                names=[*names, "bits", "brief", "tiles"],
+                [*batch.columns[:-1], bits, brief, tiles, sure],
+                names=[*names, "bits", "brief", "tiles", "sure"],
             )
 
     kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in sets.schema.fields[:-1])
-    arrays = ", ".join(f"{c} array<long>" for c in ("bits", "brief", "tiles"))
+    arrays = ", ".join(f"{c} array<long>" for c in ("bits", "brief", "tiles", "sure"))
     return sets.mapInArrow(build, f"{kept}, {arrays}")
 
 
@@ -245,6 +258,36 @@ def rare_gram_pairs(docs: DataFrame, members: DataFrame, rule: JaccardRule) -> D
     return _across(shown, "gram", rule)
 
 
+def _rarest_tiles(shown: DataFrame) -> DataFrame:
+    """Each node's tiles without the most crowded ones, which no link needs.
+
+    ``shown`` has ``node``, ``tile``, ``size`` and ``sure``. Of the tiles that two linked sets
+    share, take the first in the order of size: at least ``sure`` - 1 others come after
+    it in either set, so it is not among the last ``sure`` - 1 tiles of either. Tiles that
+    ``shown`` leaves out for all nodes count as the first ones.
+    """
+    band = F.col("tile").bitwiseAND(1)
+    of_node = W.partitionBy("node", band)
+    crowded_first = of_node.orderBy(F.desc("size"), F.desc("tile"))
+    # A node may have several texts; the least number holds for each.
+    return (
+        shown.withColumn("nth", F.row_number().over(crowded_first))
+        .withColumn("least", F.min(F.get("sure", band.cast("int"))).over(of_node))
+        .where("nth >= least")
+        .drop("nth", "least", "size", "sure")
+    )
+
+
+def _open_tiles(labelled: DataFrame) -> DataFrame:
+    """``tile``, ``size`` of the tiles whose members are not in one component."""
+    split = labelled.groupBy("tile").agg(
+        F.min("component").alias("least"),
+        F.max("component").alias("most"),
+        F.count(F.lit(1)).alias("size"),
+    )
+    return split.where("least < most").select("tile", "size")
+
+
 def _across(shown: DataFrame, key: str, rule: JaccardRule) -> DataFrame:
     """Pairs of rows of different components that show the same key, under the bounds."""
     other = shown.select(
@@ -286,10 +329,12 @@ def jaccard_components(docs: DataFrame, rule: JaccardRule | None = None) -> Data
        tiles with three nodes or more are listed at all.
     3. Pairs are bounded by bit counts, then settled by exact intersection.
     4. Tiles whose members are not in one component yet pair the members of
-       different components, under the same bounds inside the join; where a tile holds
-       more than ``rule.crowd``, its members are paired by their rarest n-grams
-       (``rare_gram_pairs``), as a passage that many unlike texts share would pair them
-       all. So no link is lost, and no group is expanded into all its pairs.
+       different components, under the same bounds inside the join. Before that, each
+       set leaves its most crowded tiles, as far as its links are sure to show in
+       others too (``_rarest_tiles``). Where a tile still holds more than ``rule.crowd``,
+       its members are paired by their rarest n-grams (``rare_gram_pairs``), as a
+       passage that many unlike texts share would pair them all. So no link is lost,
+       and no group is expanded into all its pairs.
 
     Sets themselves are only built again for documents in pairs that pass the
     bounds. N-grams are compared by 64-bit hashes.
@@ -321,7 +366,8 @@ def jaccard_components(docs: DataFrame, rule: JaccardRule | None = None) -> Data
     )
     nodes = members.join(_sent_if_small(copies, rule), ["doc_id", "d1", "d2"], "left_anti")
     narrow = stage(
-        nodes.select(F.col("doc_id").alias("node"), "n", "bits", "brief").distinct(), "nodes"
+        nodes.select(F.col("doc_id").alias("node"), "n", "bits", "brief", "sure").distinct(),
+        "nodes",
     )
     shown = nodes.select(F.col("doc_id").alias("node"), F.explode("tiles").alias("tile"))
     met = stage(
@@ -353,15 +399,13 @@ def jaccard_components(docs: DataFrame, rule: JaccardRule | None = None) -> Data
         .join(found, "node", "left")
         .withColumn("component", F.coalesce("component", "node"))
     )
-    split = labelled.groupBy("tile").agg(
-        F.min("component").alias("least"),
-        F.max("component").alias("most"),
-        F.count(F.lit(1)).alias("size"),
-    )
-    open_tiles = split.where("least < most").select("tile", "size")
     loose = stage(
-        labelled.join(open_tiles, "tile").join(narrow.drop("bits"), "node"), "loose"
+        _rarest_tiles(
+            labelled.join(_open_tiles(labelled), "tile").join(narrow.drop("bits"), "node")
+        ),
+        "loose",
     )
+    loose = loose.join(_open_tiles(loose), "tile")
     few = loose.where(F.col("size") <= rule.crowd).drop("size")
     many = loose.where(F.col("size") > rule.crowd).select("node", "component", "n", "brief")
     across = (

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from riskloom.llm import ngram_join
 from riskloom.llm.components import connected_components
 from riskloom.llm.ngram_join import JaccardRule, bitmap, jaccard_components, rare_gram_pairs, tile_keys
 from tests.llm import brute
@@ -85,6 +86,40 @@ def test_a_shared_passage_does_not_pair_all_texts(documents_of, spark):
     assert counts[1] <= 6 * counts[0] <= 6 * 100
 
 
+def test_texts_with_few_crowded_tiles_stay_out_of_the_crowd(documents_of, monkeypatch):
+    """Their links show in other tiles, so their n-grams need not be put in order."""
+    rule, sizes = JaccardRule(words=3, percent=80), []
+
+    def counted(docs, members, rule):
+        sizes.append(members.count())
+        return rare_gram_pairs(docs, members, rule)
+
+    monkeypatch.setattr(ngram_join, "rare_gram_pairs", counted)
+    rows = shared_passage(24, 300, 180, shared=60)
+    out = jaccard_components(documents_of(rows), rule).collect()
+    assert {r["doc_id"]: r["component_id"] for r in out} == brute.components(rows, 3, 80)
+    assert sizes == [0]
+
+
+@pytest.mark.parametrize("crowd,own,n,percent", [(1, 10, 3, 80), (2, 40, 5, 80), (1, 90, 3, 90)])
+def test_leaving_crowded_tiles_loses_no_link(documents_of, crowd, own, n, percent):
+    """Neighbours in a chain of near copies, at the bound and below, amid a shared passage."""
+    rng = random.Random(own)
+    rows = []
+    for i in range(90):
+        if i % 6:
+            words = rows[-1][1].split()
+            for _ in range(rng.randint(1, len(words) * 20 // 100 // 8)):
+                words[rng.randrange(len(words))] = f"new{rng.randrange(10**6)}"
+        else:
+            words = [f"p{k}" for k in range(60)] + [f"w{rng.randrange(10**6)}" for _ in range(own)]
+        rows.append((i, " ".join(words)))
+    rows += [(7, rows[20][1] + " end"), (8, "a b c d e")]
+    out = jaccard_components(documents_of(rows), JaccardRule(words=n, percent=percent, crowd=crowd))
+    got = {(r["doc_id"], r["component_id"]) for r in out.collect()}
+    assert got == set(brute.components(rows, n, percent).items())
+
+
 def test_edge_rows(edge):
     out = jaccard_components(edge).collect()
     assert len(out) == len(EDGE)
@@ -115,6 +150,26 @@ def test_linked_sets_share_a_tile():
                 assert set(tile_keys(x, rule, edges)) & set(tile_keys(y, rule, edges))
 
 
+def test_linked_sets_share_the_sure_number_of_tiles():
+    rng = np.random.default_rng(2)
+    for percent in (90, 80, 50):
+        rule = JaccardRule(percent=percent)
+        edges = rule.bands()
+        for size in [*range(1, 60), 145, 300, 460, 1000]:
+            x = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+            most = (100 - percent) * size // 100
+            swapped = size * (100 - percent) // (100 + percent)
+            fresh = rng.integers(0, 1 << 63, swapped, dtype=np.uint64)
+            for y in (x[most:], x[: size - most // 2], np.concatenate([x[swapped:], fresh])):
+                common = len(np.intersect1d(x, y))
+                assert 100 * common >= percent * (len(x) + len(y) - common)
+                (a, of_a), (b, of_b) = (ngram_join.sure_tiles(z, rule, edges) for z in (x, y))
+                met = [sum(k & 1 == bit for k in set(a) & set(b)) for bit in (0, 1)]
+                # In the band of the larger set both show themselves.
+                bit = int(np.searchsorted(edges, max(len(x), len(y)), "right") - 1) & 1
+                assert met[bit] >= max(of_a[bit], of_b[bit]) >= 1
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(100, 140)] + [(7, i) for i in range(20, 50)] + [(7, 7), (2, None)]
     random.Random(3).shuffle(edges)
